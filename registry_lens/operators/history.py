@@ -23,6 +23,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry_lens.session import buckets_for, list_names, read_text, write_text_once
 
@@ -82,16 +83,20 @@ class ChainStore:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path.rstrip("/")
-        self.buckets = self._manifest().get("buckets") or buckets or buckets_for(spark)
+        seen = self._manifest()
+        self.buckets = seen.get("buckets") or buckets or buckets_for(spark)
+        self.schemas: dict[str, str] = seen.get("schemas", {})
 
     def _manifest(self) -> dict:
         names = [n for n in list_names(self.spark, f"{self.path}/manifest") if n.endswith(".json")]
         return json.loads(read_text(self.spark, f"{self.path}/manifest/{names[-1]}")) if names else {"version": 0, "generations": []}
 
     def _part(self, kind: str, gen: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{kind}/gen={gen}")
+        schema = T.StructType.fromJson(json.loads(self.schemas[kind]))
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/gen={gen}")
 
     def _write(self, df: DataFrame, kind: str, gen: int) -> None:
+        self.schemas[kind] = df.schema.json()
         df.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/gen={gen}")
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
@@ -113,15 +118,15 @@ class ChainStore:
         fresh = self._part("raw", gen)
         touched = fresh.select("bucket", "entity").distinct()
         if seen["generations"]:
-            touched.write.mode("overwrite").parquet(f"{self.path}/touched/gen={gen}")
-            touched = self.spark.read.parquet(f"{self.path}/touched/gen={gen}")
+            self._write(touched, "touched", gen)
+            touched = self._part("touched", gen)
             history = reduce(DataFrame.unionByName, (self._part("raw", g) for g in seen["generations"])).join(
                 touched, ["bucket", "entity"], "left_semi"
             )
             fresh = history.unionByName(fresh)
         self._write(self._spread(self._bucketed(build_chains(fresh.drop("bucket")))), "chains", gen)
         version = seen["version"] + 1
-        entry = {"version": version, "buckets": self.buckets, "generations": [*seen["generations"], gen]}
+        entry = {"version": version, "buckets": self.buckets, "schemas": self.schemas, "generations": [*seen["generations"], gen]}
         write_text_once(self.spark, f"{self.path}/manifest/{version:010d}.json", json.dumps(entry))
         return version
 

@@ -120,6 +120,8 @@ class StructuralIndex:
 
     def object_after(self, colons: np.ndarray) -> np.ndarray:
         """Mark of the brace when the value after a colon is an object, else -1."""
+        if not len(self.mark):
+            return np.full(len(colons), -1)
         safe = np.maximum(colons, 0)
         after = np.minimum(safe + 1, len(self.mark) - 1)
         fits = (colons >= 0) & (self.mark[after] == OPEN_O) & (self.first_content(self.mark_at[safe] + 1) == self.mark_at[after])
