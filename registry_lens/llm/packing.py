@@ -99,8 +99,21 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_ro
     return plan
 
 
-def make_plan(histogram: np.ndarray, capacity: int, groups: int = 32, small: float = 0.125) -> Plan:
-    """Plan for ``histogram[s]`` items of each size s up to the capacity (size 0 takes no space and no part)."""
+#: (groups, share of the capacity up to which an item is small) of the plans that are drawn up. More groups round
+#: less but leave more patterns to round down; with the last limit large items stand alone and all others are best-fitted.
+VARIANTS = ((32, 0.125), (64, 0.125), (64, 0.25), (64, 0.34), (16, 0.5))
+
+
+def make_plan(histogram: np.ndarray, capacity: int, variants: tuple[tuple[int, float], ...] = VARIANTS) -> Plan:
+    """The plan of the fewest containers for ``histogram[s]`` items of each size s up to the capacity.
+
+    Size 0 takes no space and no part. Drawing up a plan costs about a second, whatever the
+    number of items.
+    """
+    return min((_plan(histogram, capacity, groups, small) for groups, small in variants), key=lambda p: p.containers)
+
+
+def _plan(histogram: np.ndarray, capacity: int, groups: int, small: float) -> Plan:
     counts = histogram.astype(np.int64).copy()
     counts[0] = 0
     above = np.concatenate((np.cumsum(counts[::-1])[::-1][1:], [0]))
@@ -188,7 +201,7 @@ def cut_items(lengths: DataFrame, capacity: int) -> DataFrame:
     return rows.select("doc_id", "piece", start.alias("start"), F.least(F.lit(capacity), F.col("tokens") - start).cast("int").alias("size"))
 
 
-def pack(lengths: DataFrame, capacity: int = 2048, groups: int = 32) -> DataFrame:
+def pack(lengths: DataFrame, capacity: int = 2048, variants: tuple[tuple[int, float], ...] = VARIANTS) -> DataFrame:
     """(doc_id, piece, start, size, container) for (doc_id, tokens): every token of every text in exactly one container.
 
     Only texts of more tokens than the capacity have several pieces. Empty and null texts
@@ -202,7 +215,7 @@ def pack(lengths: DataFrame, capacity: int = 2048, groups: int = 32) -> DataFram
     cells = np.zeros((salts, capacity + 1), dtype=np.int64)
     for salt, size, n in items.groupBy("salt", "size").count().collect():  # at most salts x capacity cells
         cells[salt, size] = n
-    plan = make_plan(cells.sum(axis=0), capacity, groups)
+    plan = make_plan(cells.sum(axis=0), capacity, variants)
     base = np.cumsum(cells, axis=0) - cells + plan.above  # rank before the first item of a salt and size
     shared = spark.sparkContext.broadcast((plan, base))
     ranked = items.withColumn("nth", F.row_number().over(Window.partitionBy("salt", "size").orderBy("doc_id", "piece")))
@@ -222,6 +235,6 @@ def pack(lengths: DataFrame, capacity: int = 2048, groups: int = 32) -> DataFram
     return ranked.select("doc_id", "piece", "start", "size", "salt", "nth").mapInArrow(place, "doc_id long, piece int, start long, size int, container long")
 
 
-def pack_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str = "byte_bpe_50k", folder: str | None = None, groups: int = 32) -> DataFrame:
+def pack_documents(documents: DataFrame, capacity: int = 2048, tokenizer: str = "byte_bpe_50k", folder: str | None = None, variants: tuple[tuple[int, float], ...] = VARIANTS) -> DataFrame:
     """Containers of the texts of ``documents`` (doc_id, text), measured in tokens."""
-    return pack(count_tokens(documents, tokenizer=tokenizer, folder=folder), capacity, groups)
+    return pack(count_tokens(documents, tokenizer=tokenizer, folder=folder), capacity, variants)

@@ -251,7 +251,7 @@ def _names(text: str, field: str, longest: int = 8):
                         join = text[units[j][1] : a] if side == "left" else text[units[k][1] : units[j][0]]
                         kind = "org" if small[j] in _O else "title" if small[j] in _T else "function" if small[j] in _F else "particle" if small[j] in _P else "word"
                         if not (dotted and side == "right" and len(small[k]) > 1):
-                            features.append(f"{side}_{kind}{'_comma' if ',' in join else '_hyphen' if '-' in join else ''}")
+                            features.append(f"{side}_{kind}{'_comma' if ',' in join else '_hyphen' if '-' in join else '_line' if chr(10) in join else ''}")
                 if text[b : b + 2] in ("'s", "’s"):
                     features.append("possessive")
                 after = text[b : b + 1]

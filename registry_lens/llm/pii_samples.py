@@ -141,7 +141,7 @@ TEXTS = (
     "Mail {role} or {E} first.", "Please call {P} before publishing details.", "The readme still lists tel. {P} and {A} as the office of the owner.", "Phone {P} or fax {P}.", "His mobile is {P}, ask for {N}.", "Call me at {P}.",
     "SSN {I} appears in fixtures/{plain}.json.", "Passport no. {I} was hard-coded in the test suite.", "{I} was hard-coded in the test suite.", "Tax id {I} in the licence header, phone {P}.", "The stolen archive holds a scan of the identity card, number {I}, of one maintainer.",
     "{pkg} ships a private file with id {I}", 'Exfiltrated records look like "{N};{I};{P}".', "Records such as {N};{I};{P};{E} were sold.", "National ID {I} belongs to {N}.", "Letters to the author go to {A}.", "Le mainteneur habite {A}.",
-    "Postal data ({A}) hard-coded in {pkg}", "{N} lives at {A}.", "Postal address: {A}", "Thanks to {N} and {N} for the report.", "Thanks to Prof. {N} for the analysis.", "Best regards,\n{N}", "The owner, {N}, moved to {A}.",
+    "Postal data ({A}) hard-coded in {pkg}", "{N} lives at {A}.", "Postal address: {A}", "Thanks to {N} and {N} for the report.", "Details\n{N} found a backdoor in {pkg} {ver}", "Credits\n{N}\n{N}", "Impact\nLow. Reported by {N}", "Thanks to Prof. {N} for the analysis.", "Best regards,\n{N}", "The owner, {N}, moved to {A}.",
     "Offsets {three}-{four} of the bundle are random bytes.", "Lines {three}-{four} of the file differ.", "Tracked as CVE-2099-{four} and ticket 2026-03-{four}.", "The build 202603{two}.{four}.{four} has checksum {hex}.", "It listens on 192.0.2.{two}:8443 and needs node >= 18.{four}.0.",
     "Salted hash h:{hex} belongs to the publishing account.", "The job ran 12 {Word} tests in {three} ms.", "The {Word} Street theme of {pkg} is not involved.", "The Main Street theme of {pkg} is not involved.", "Reported through {org}.", "Clone it with git@git.lab.example:tools/{plain}.git and pin {pkg}@{ver}.",
     "See https://{plain}.example/{plain}?ref={pkg}@{ver} for the list.", "Traffic went to 192.0.2.{two} and to https://{plain}.invalid/{plain}.", "Users of {pkg}@{ver} are not affected.", "No version after {ver} is affected, and {four} installs were counted before removal.", "Maintainers should rotate every token that was present on the build machine.",
