@@ -43,10 +43,14 @@ _PREFIX = {"gone": "gone", "package_unpublish": "punpub", "version_unpublish": "
 def derive(obs: DataFrame) -> DataFrame:
     """Events of all observations, before equal ids are collapsed.
 
-    Rows without name have no chain and give none. One shuffle by name; a package's rows
-    are as many as its observations, and the window keeps the baseline only.
+    Rows without name have no chain and give none. One shuffle by name; reduce ``obs`` to a
+    row per package and run first, which bounds a package's rows by the number of runs.
     """
-    rows = with_baseline(obs.where("name is not null"))
+    return events_of(with_baseline(obs.where("name is not null")))
+
+
+def events_of(rows: DataFrame) -> DataFrame:
+    """The rules, on observations that carry their baseline in ``prev``; the same for batch and stream."""
     seen, none = epoch("fetchedAt"), F.array().cast(f"array<{EVENT}>")
     read, first = diffable(), F.col("prev").isNull()
     when = lambda c, e: F.when(c, F.array(e)).otherwise(none)
@@ -62,7 +66,7 @@ def derive(obs: DataFrame) -> DataFrame:
     yanks = F.when(read, F.transform(F.coalesce("missing", F.array().cast("array<struct<v:string,t:bigint>>")), lambda m: _event("version_unpublish", m["v"], m["v"], m["t"], originalPublishAt=m["t"], noticedAt=seen))).otherwise(none)
     known = F.transform(F.col("prev.times"), lambda t: t["v"])
     fresh = F.filter(F.coalesce("times", F.array().cast("array<struct<v:string,t:bigint>>")), lambda t: ~F.coalesce(F.array_contains(known, t["v"]), F.lit(False)))
-    details = F.coalesce(F.map_from_entries(F.transform("recent", lambda r: F.struct(r["v"], r))), F.create_map()) if "recent" in obs.columns else None
+    details = F.coalesce(F.map_from_entries(F.transform("recent", lambda r: F.struct(r["v"], r))), F.create_map()) if "recent" in rows.columns else None
     is_new = F.array_contains(F.coalesce("flags", F.array().cast("array<string>")), "new_package")
 
     def publish(t: Column) -> Column:

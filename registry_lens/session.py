@@ -3,16 +3,31 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+HOME = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: by path where they share the driver's disk, else as a zip file."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if HOME not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([HOME, *paths])
+    elif not any(os.path.basename(f).startswith("registry_lens_") for f in sc._python_includes):
+        base = os.path.join(tempfile.mkdtemp(), f"registry_lens_{uuid.uuid4().hex[:8]}")
+        sc.addPyFile(shutil.make_archive(base, "zip", HOME, "registry_lens"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
