@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry_lens.functions.arrow_text import blocks, utf8_buffer
+from registry_lens.session import spread
 
 QUOTE, SLASH, COMMA, COLON = b'"\\,:'
 OPEN_O, CLOSE_O, OPEN_A, CLOSE_A = b"{}[]"
@@ -67,7 +68,8 @@ class StructuralIndex:
         content = ~BLANK[data]
         self._content = np.concatenate(([0], np.cumsum(content)))
         self._content_at = np.flatnonzero(content)
-        self._ends: dict[int, np.ndarray] = {}
+        self._slashes = np.concatenate(([0], np.cumsum(slash, dtype=np.int32)))
+        self._sorted: dict[tuple[str, int], np.ndarray] = {}
 
     def text(self, a: int, b: int) -> bytes:
         return self.data[a:b].tobytes().strip(b" \t\n\r")
@@ -76,31 +78,48 @@ class StructuralIndex:
         """First byte at or after each offset that is no white space (the buffer's length if there is none)."""
         return np.append(self._content_at, len(self.data))[self._content[offsets]]
 
+    def _marks(self, kind: str, depth: int) -> np.ndarray:
+        """Marks of a kind in a depth, in order, with the last mark of all behind them; found once per block."""
+        if (kind, depth) not in self._sorted:
+            close = ~self.mark_open & ((self.mark == CLOSE_O) | (self.mark == CLOSE_A))
+            if kind == "comma":
+                found = (self.mark == COMMA) & (self.mark_depth == depth)
+            elif kind == "close":
+                found = close & (self.mark_depth == depth)
+            else:
+                found = ((self.mark == COMMA) & (self.mark_depth == depth)) | (close & (self.mark_depth == depth - 1))
+            self._sorted[kind, depth] = np.append(np.flatnonzero(found), len(self.mark) - 1)
+        return self._sorted[kind, depth]
+
     def value_ends(self, marks: np.ndarray, depth: int) -> np.ndarray:
         """Marks that end the values beginning after ``marks``, all in that depth: a comma, or the bracket around."""
-        if depth not in self._ends:
-            comma = (self.mark == COMMA) & (self.mark_depth == depth)
-            bracket = ~self.mark_open & ((self.mark == CLOSE_O) | (self.mark == CLOSE_A)) & (self.mark_depth == depth - 1)
-            self._ends[depth] = np.flatnonzero(comma | bracket)
-        ends = self._ends[depth]
-        return np.append(ends, len(self.mark) - 1)[np.searchsorted(ends, marks, side="right")]
+        ends = self._marks("end", depth)
+        return ends[np.minimum(np.searchsorted(ends, marks, side="right"), len(ends) - 1)]
 
     def closing(self, opening: np.ndarray, depth: int) -> np.ndarray:
         """Marks of the brackets closing those that lie in ``depth``."""
-        ends = np.flatnonzero(~self.mark_open & ((self.mark == CLOSE_O) | (self.mark == CLOSE_A)) & (self.mark_depth == depth))
-        return np.append(ends, len(self.mark) - 1)[np.searchsorted(ends, opening, side="right")]
+        ends = self._marks("close", depth)
+        return ends[np.minimum(np.searchsorted(ends, opening, side="right"), len(ends) - 1)]
+
+    def values(self, colons: np.ndarray, depth: int) -> list[bytes | None]:
+        """Texts of the values after the colons of a depth, None for -1."""
+        ends = self.mark_at[self.value_ends(colons, depth)] if len(self.mark) else colons
+        starts = self.mark_at[colons] + 1 if len(self.mark) else colons
+        return [self.text(a, b) if c >= 0 else None for c, a, b in zip(colons.tolist(), starts.tolist(), ends.tolist())]
 
-    def member(self, opening: np.ndarray, depth: int, name: str) -> np.ndarray:
+    def member(self, opening: np.ndarray, depth: int, name: str, among: tuple[int, int] | None = None) -> np.ndarray:
         """For each object (mark of its brace, lying in ``depth``) the colon of the member ``name``, or -1.
 
         Objects must be in order; entries of -1 stay -1. Of a repeated key the last counts.
+        ``among``: a range of marks to look in, when it is known.
         """
         out = np.full(len(opening), -1)
         live = np.flatnonzero(opening >= 0)
         if not len(live):
             return out
         lo, hi = opening[live], self.closing(opening[live], depth)
-        colons = np.flatnonzero((self.mark == COLON) & (self.mark_depth == depth + 1))
+        first, stop = among or (0, len(self.mark))
+        colons = first + np.flatnonzero((self.mark[first:stop] == COLON) & (self.mark_depth[first:stop] == depth + 1))
         owner = np.searchsorted(lo, colons, side="right") - 1
         mine = (owner >= 0) & (colons < hi[owner])
         colons, owner = colons[mine], owner[mine]
@@ -111,8 +130,10 @@ class StructuralIndex:
         for k, byte in enumerate(token):
             fits &= self.data[np.maximum(key_start + k, 0)] == byte
         fits &= self.quotes[np.maximum(key_start, 0)]
-        for k in np.flatnonzero(~fits & (key_end > 0)):  # keys spelled with escapes
-            a = int(self.mark_at[colons[k] - 1]) + 1
+        before = self.mark_at[np.maximum(colons - 1, 0)] + 1
+        escaped = (colons > 0) & (self._slashes[key_end] > self._slashes[np.minimum(before, key_end)])
+        for k in np.flatnonzero(~fits & escaped):  # keys spelled with escapes
+            a = int(before[k])
             key = self.text(a, int(key_end[k]) + 1)
             fits[k] = b"\\u" in key and strict(key) == name
         out[live[owner[fits]]] = colons[fits]
@@ -130,9 +151,9 @@ class StructuralIndex:
     def items(self, opening: int, depth: int) -> list[tuple[int, int]]:
         """Mark ranges of the elements or pairs between a bracket lying in ``depth`` and its closing one."""
         closing = int(self.closing(np.array([opening]), depth)[0])
-        inner = np.arange(opening + 1, closing)
-        commas = inner[(self.mark[inner] == COMMA) & (self.mark_depth[inner] == depth + 1)]
-        cuts = [opening, *commas.tolist(), closing]
+        commas = self._marks("comma", depth + 1)[:-1]
+        lo, hi = np.searchsorted(commas, (opening, closing))
+        cuts = [opening, *commas[lo:hi].tolist(), closing]
         return list(zip(cuts[:-1], cuts[1:]))
 
 
@@ -148,27 +169,23 @@ def strict(text: bytes):
         return None
 
 
-def _names(index: StructuralIndex, colon: int, depth: int) -> list[str]:
-    """Distinct names in the value after a colon of that depth: a string, strings and ``version`` fields of a list, keys of an object."""
-    span = index.text(int(index.mark_at[colon]) + 1, int(index.mark_at[index.value_ends(np.array([colon]), depth)[0]]))
+def _names(index: StructuralIndex, colon: int, depth: int, span: bytes) -> list[str]:
+    """Distinct names in the value ``span`` after a colon of that depth: a string, strings and ``version`` fields of a list, keys of an object."""
     names: list = []
     if span[:1] == b'"':
         names = [strict(span)]
-    elif span[:1] == b"{":
-        for a, b in index.items(colon + 1, depth):
-            key_colon = a + 1
-            if key_colon < b and index.mark[key_colon] == COLON:
-                names.append(strict(index.text(int(index.mark_at[a]) + 1, int(index.mark_at[key_colon]))))
-    elif span[:1] == b"[":
-        for a, b in index.items(colon + 1, depth):
-            item = index.text(int(index.mark_at[a]) + 1, int(index.mark_at[b]))
-            if item[:1] == b'"':
-                names.append(strict(item))
-            elif item[:1] == b"{":
-                at = int(index.member(np.array([a + 1]), depth + 1, "version")[0])
-                if at >= 0:
-                    end = int(index.value_ends(np.array([at]), depth + 2)[0])
-                    names.append(strict(index.text(int(index.mark_at[at]) + 1, int(index.mark_at[end]))))
+    elif span[:1] in (b"{", b"["):
+        at, items = index.mark_at, index.items(colon + 1, depth)
+        if span[:1] == b"{":
+            keys = [(a, a + 1) for a, b in items if a + 1 < b and index.mark[a + 1] == COLON]
+            names = [strict(index.text(int(at[a]) + 1, int(at[c]))) for a, c in keys]
+        else:
+            texts = [index.text(int(at[a]) + 1, int(at[b])) for a, b in items]
+            objects = np.array([a + 1 for (a, _), t in zip(items, texts) if t[:1] == b"{"], dtype=np.int64)
+            inner = index.values(index.member(objects, depth + 1, "version", (colon + 1, items[-1][1])), depth + 2) if len(objects) else []
+            fields = iter(inner)
+            named = [t if t[:1] == b'"' else next(fields) if t[:1] == b"{" else None for t in texts]
+            names = [strict(t) for t in named if t]
     return list(dict.fromkeys(n for n in names if isinstance(n, str) and n))
 
 
@@ -188,17 +205,18 @@ def _block_rows(data: np.ndarray, offsets: np.ndarray, ids: list) -> list[tuple]
     versions, by = index.member(gone, 2, "versions"), index.member(gone, 2, "name")
     names = index.member(root, 0, "name")
 
-    def string(colon: int, depth: int) -> str | None:
-        end = int(index.value_ends(np.array([colon]), depth)[0])
-        value = strict(index.text(int(index.mark_at[colon]) + 1, int(index.mark_at[end])))
+    listed, by_texts, name_texts = index.values(versions, 3), index.values(by, 3), index.values(names, 1)
+
+    def string(text: bytes | None) -> str | None:
+        value = strict(text) if text and text[:1] == b'"' else None
         return value if isinstance(value, str) else None
 
     out = []
     for k in range(rows):
         usable = bool(starts_object[k]) and isinstance(strict(index.text(int(offsets[k]), int(offsets[k + 1]))), dict)
-        name = string(int(names[k]), 1) if usable and names[k] >= 0 else None
-        by_name = (string(int(by[k]), 3) if usable and by[k] >= 0 else None) or ""
-        found = _names(index, int(versions[k]), 3) if usable and versions[k] >= 0 else []
+        name = string(name_texts[k]) if usable else None
+        by_name = (string(by_texts[k]) if usable else None) or ""
+        found = _names(index, int(versions[k]), 3, listed[k]) if usable and listed[k] else []
         out.append((ids[k], usable, name, by_name, len(found), None))
         out.extend((ids[k], usable, name, by_name, len(found), v) for v in found)
     return out
@@ -220,7 +238,8 @@ def flatten_documents(documents: DataFrame, rec_id: str = "rec_id", raw: str = "
     n_versions, version. Null, empty, cut-off and non-object texts give one row with usable
     false; repeated rows collapse; further columns are ignored.
     """
-    rows = documents.select(F.col(rec_id).cast("long").alias("rec_id"), F.col(raw).alias("raw")).mapInArrow(
+    picked = spread(documents.select(F.col(rec_id).cast("long").alias("rec_id"), F.col(raw).alias("raw")))
+    rows = picked.mapInArrow(
         _flatten, "rec_id long, usable boolean, name string, by_name string, n_versions int, version string"
     )
     return rows.distinct()

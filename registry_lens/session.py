@@ -94,6 +94,15 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows in at least as many partitions as there are cores, for costly Python steps over few files.
+
+    A table of more partitions than cores, as any large one is, stays as it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def buckets_for(spark: SparkSession, least: int = 8) -> int:
     """Bucket count of a new store: as many as the session shuffles into."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
