@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry_lens.functions.arrow_text import blocks, utf8_buffer
+from registry_lens.session import spread
 
 #: Bytes of text worked on at a time.
 BLOCK = 2 << 20
@@ -289,7 +290,7 @@ def map_encoded(documents: DataFrame, fields: list[str], schema: str, shared, ma
             ids, at = encoder.encode(data, offsets)
             yield from make(encoder, batch, data, offsets, ids, at)
 
-    return documents.select(*fields).mapInArrow(run, schema)
+    return spread(documents.select(*fields)).mapInArrow(run, schema)
 
 
 def _ids_batch(encoder, batch, data, offsets, ids, at):
@@ -300,7 +301,7 @@ def _ids_batch(encoder, batch, data, offsets, ids, at):
 
 
 def encode_documents(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k", folder: str | None = None) -> DataFrame:
-    """(doc_id, ids) of every row, without special tokens, in the partitions the rows came in.
+    """(doc_id, ids) of every row, without special tokens; a map over the rows, nothing is gathered.
 
     Null and empty texts have an empty list. Repeated rows stay repeated; further columns
     are ignored. Strings of special tokens in a text are ordinary text.

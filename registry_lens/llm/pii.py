@@ -8,9 +8,10 @@ found items, and those only to make them distinct.
 
 from __future__ import annotations
 
+import bisect
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -19,15 +20,18 @@ from pyspark.sql import functions as F
 
 from registry_lens.llm.pii_model import SemiCRF, propose
 from registry_lens.llm.pii_samples import samples
+from registry_lens.session import spread
 
 #: Sentences the model is trained on.
 SAMPLES = 1500
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
 STRING = re.compile(r'"((?:[^"\\]|\\.)*)"(\s*:)?', re.DOTALL)
-ESCAPE = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\.|[^\\]", re.DOTALL)
+ESCAPE = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\.", re.DOTALL)
 KNOWN_FIELDS = ("name", "contact", "summary", "details", "notes")
-#: Characters of a text without which no gate proposes anything: a digit, an upper-case letter, or an at sign, written out or not.
-WORTH_A_LOOK = re.compile(r"[\d@]|[^\W\d_a-z]|\bat\b", re.UNICODE)
+#: What a text must have for any gate to propose something: an at sign, written out or not, an upper-case letter, or five digits.
+WORTH_A_LOOK = re.compile(r"@|\bat\b|[^\W\d_a-z]|(?:\d\D*){5}", re.UNICODE)
+#: Longest text whose items a worker remembers; short ones recur (versions, ecosystems, names of organisations).
+SHORT = 80
 
 
 @lru_cache(maxsize=2)
@@ -47,7 +51,34 @@ def find_in_text(model: SemiCRF, text: str, field: str) -> list[tuple[int, int,
     """
     if not text or not WORTH_A_LOOK.search(text):
         return []
-    return [(c.start, c.end, c.kind) for c in model.best(propose(text, field))]
+    if len(text) > SHORT:
+        return [(c.start, c.end, c.kind) for c in model.best(propose(text, field))]
+    memory = model.__dict__.setdefault("memory", {})
+    if (text, field) not in memory:
+        if len(memory) > 100_000:
+            memory.clear()
+        memory[text, field] = [(c.start, c.end, c.kind) for c in model.best(propose(text, field))]
+    return memory[text, field]
+
+
+def decode(body: str) -> tuple[str, Callable[[int], int]]:
+    """The text of a JSON string's body, and the function from its offsets to the body's."""
+    parts, at, size = [], 0, 0
+    decoded, raw = [0], [0]  # where a stretch without escapes begins, in both
+    for e in ESCAPE.finditer(body):
+        char = json.loads(f'"{e.group()}"', strict=False)
+        parts += [body[at : e.start()], char]
+        size += e.start() - at
+        decoded += [size, size + len(char)]
+        raw += [e.start(), e.end()]
+        size, at = size + len(char), e.end()
+    parts.append(body[at:])
+
+    def back(offset: int) -> int:
+        k = bisect.bisect_right(decoded, offset) - 1
+        return raw[k] + offset - decoded[k]
+
+    return "".join(parts), back
 
 
 def find_in_json(model: SemiCRF, raw: str) -> list[tuple[int, int, str]]:
@@ -68,10 +99,8 @@ def find_in_json(model: SemiCRF, raw: str) -> list[tuple[int, int, str]]:
         if "\\" not in body:
             out.extend((base + a, base + b, kind) for a, b, kind in find_in_text(model, body, field))
             continue
-        parts = [(e.start(), e.group()) for e in ESCAPE.finditer(body)]
-        text = "".join(json.loads(f'"{p}"', strict=False) if p[0] == "\\" else p for _, p in parts)
-        starts = [s for s, _ in parts] + [len(body)]
-        out.extend((base + starts[a], base + starts[b], kind) for a, b, kind in find_in_text(model, text, field))
+        text, back = decode(body)
+        out.extend((base + back(a), base + back(b), kind) for a, b, kind in find_in_text(model, text, field))
     return out
 
 
@@ -131,7 +160,7 @@ def find_personal(records: DataFrame, key: str = "id", plain: tuple[str, ...] =
             columns = list(zip(*sorted(rows, key=str))) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.string()) for c in columns], schema=FOUND)
 
-    picked = records.select(F.col(key).cast("string").alias("id"), *(F.col(c) for c, _ in fields))
+    picked = spread(records.select(F.col(key).cast("string").alias("id"), *(F.col(c) for c, _ in fields)))
     return picked.mapInArrow(run, "id string, field string, kind string, value string").distinct()
 
 
@@ -149,5 +178,5 @@ def redact(records: DataFrame, key: str = "id", plain: tuple[str, ...] = ("summa
                 out.append(pa.array([v if v is None else replace(v, _items(model, v, as_json)) for v in batch.column(n + 1).to_pylist()], type=pa.string()))
             yield pa.RecordBatch.from_arrays(out, schema=schema)
 
-    picked = records.select(F.col(key).cast("string").alias(key), *(F.col(c) for c, _ in fields))
+    picked = spread(records.select(F.col(key).cast("string").alias(key), *(F.col(c) for c, _ in fields)))
     return picked.mapInArrow(run, ", ".join(f"`{f.name}` string" for f in schema))

@@ -213,6 +213,8 @@ def _names(text: str, field: str, longest: int = 8):
             for k in range(i, min(len(units), i + longest)):
                 if small[k] in _P and words[k][0].islower():
                     continue
+                if all(w in _F or w in _P for w in small[i : k + 1]):
+                    continue
                 b = units[k][1]
                 dotted = words[k].endswith(".")
                 if dotted and len(small[k]) > 1:
@@ -327,8 +329,10 @@ class SemiCRF:
         self.weights = defaultdict(float, weights or {})
 
     def score(self, c: Candidate) -> float:
-        w, kind = self.weights, c.kind
-        return sum(w.get((kind, f), 0.0) for f in c.features)
+        get, kind, total = self.weights.get, c.kind, 0.0
+        for f in c.features:
+            total += get((kind, f), 0.0)
+        return total
 
     def best(self, candidates: list[Candidate]) -> list[Candidate]:
         """The labelling of the highest score. Between segments lie tokens outside, which score 0."""
