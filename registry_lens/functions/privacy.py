@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +77,50 @@ def redact_columns(df: DataFrame, salt: str) -> DataFrame:
     return df.select(*(deep(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields))
 
 
+def _pseudonym(address: str, salt: str) -> str:
+    if re.match(VCS_LOCAL_PART, address) or address.lower() in ROLE_ADDRESSES:
+        return address
+    return "h:" + hashlib.sha256(f"{salt}\0{address.strip(' ').lower()}".encode()).hexdigest()[:32]
+
+
+def redact_value(value, salt: str):
+    """Every text and key of a parsed JSON value, redacted."""
+    if isinstance(value, str):
+        return re.sub(EMAIL, lambda m: _pseudonym(m.group(), salt), value)
+    if isinstance(value, list):
+        return [redact_value(v, salt) for v in value]
+    if isinstance(value, dict):
+        return {redact_value(k, salt): redact_value(v, salt) for k, v in value.items()}
+    return value
+
+
+def redact_json(c: str | Column, salt: str, marker: bool = False) -> Column:
+    """Redact open JSON in Arrow batches: on the parsed value, as an escape before an address would be taken for part of it.
+
+    The result is compact JSON, with a marker field in an object if asked for; text that is
+    no JSON is redacted as text; null stays null.
+    """
+    hash_email("x", salt)  # checks the salt
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(text):
+            if text is None:
+                return None
+            try:
+                value = json.loads(text)
+            except (ValueError, RecursionError):
+                return redact_value(text, salt)
+            clean = redact_value(value, salt)
+            if marker and isinstance(clean, dict):
+                clean["_addresses_redacted"] = True
+            return json.dumps(clean, ensure_ascii=False, separators=(",", ":"))
+
+        return texts.map(one)
+
+    return run(col(c))
+
+
 def gate_violation(c: str | Column, strict: bool = False) -> Column:
     """Name of the rule a text breaks, else null: a personal address, an unredacted mailto target; strictly also a contact key."""
     text = col(c)

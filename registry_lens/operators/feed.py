@@ -42,7 +42,7 @@ def window_rows(feed: DataFrame, since: int, last: int) -> DataFrame:
 
 def max_seq_of_keys(keys: DataFrame, key: str = "key") -> DataFrame:
     """Highest number that ends a key's name."""
-    return keys.agg(F.max(F.nullif(F.regexp_extract(key, r"(\d+)\D*$", 1), F.lit("")).cast("long")).alias("max_seq"))
+    return keys.agg(F.max(F.nullif(F.regexp_extract(key, r"(\d+)\D*$", 1), F.lit("")).try_cast("long")).alias("max_seq"))
 
 
 def run_summary(observations: DataFrame, run: str = "run_id") -> DataFrame:

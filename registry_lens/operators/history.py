@@ -167,7 +167,7 @@ def attribute_history(
     """
     spark = changes.sparkSession
     rows = normalise(changes, entity, period, arrived, tracked)
-    late = F.coalesce(F.col("arrived") >= F.date_add(F.to_date("period"), on_time_days), F.lit(True))
+    late = F.coalesce(F.col("arrived") >= F.date_add(F.col("period").try_cast("date"), on_time_days), F.lit(True))
     store = ChainStore(spark, path)
     store.apply(rows.where(~late))
     store.apply(rows.where(late))

@@ -22,7 +22,7 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     """(key, size) of every object below a path; files being written are left out. Contents are not read."""
     base = path.rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    key = F.element_at(F.split("path", base.split("://")[-1], 2), 2)
+    key = F.element_at(F.split("path", r"\Q" + base.split("://")[-1] + r"\E", 2), 2)
     return files.select(key.alias("key"), F.col("length").alias("size")).where(~F.col("key").endswith(".tmp"))
 
 

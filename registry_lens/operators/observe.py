@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry_lens.config import CONFIG, Config
-from registry_lens.functions.documents import Document, flags, map_at, outcome
-from registry_lens.functions.scalars import rev_int
+from registry_lens.functions.documents import Document, flags, map_at, outcome, retain
+from registry_lens.functions.privacy import redact_json
+from registry_lens.functions.scalars import rev_int, sha256_text
 
 GAP_KINDS = ("fetch_failed", "deferred", "too_large", "pii_refused", "deadline", "feed_error", "decode_error")
 
@@ -45,6 +46,17 @@ def observations(fetched: DataFrame, salt: str, config: Config = CONFIG) -> Data
     )
 
 
+def retained_rows(fetched: DataFrame, obs: DataFrame, salt: str, soft: bool = False, config: Config = CONFIG) -> DataFrame:
+    """Redacted documents worth keeping (k, run, name, sha256 of the compact text, doc), by the flags of their observations.
+
+    Documents above the size limit are left to the registry.
+    """
+    wanted = obs.where(retain(F.col("flags"), soft, config)).select("run", "name")
+    small = fetched.where(F.octet_length("raw") <= config.max_retained_bytes).join(wanted, ["run", "name"], "left_semi")
+    rows = small.select(F.lit("pkg").alias("k"), "run", "name", redact_json("raw", salt, marker=True).alias("doc"))
+    return rows.select("k", "run", "name", sha256_text("doc").alias("sha256"), "doc")
+
+
 def gap(kind: str, at: Column, name: Column | None = None, seq: Column | None = None, rev: Column | None = None, status: Column | None = None, detail: Column | None = None, run: Column | None = None) -> list[Column]:
     """Columns of a gap row; what is not given is null."""
     if kind not in GAP_KINDS:

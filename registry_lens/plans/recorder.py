@@ -73,7 +73,7 @@ def record(spark: SparkSession, store: str, feed_folder: str, documents: DataFra
     mode = state.select(run_mode(F.col("t"), F.lit(waiting), config.backlog_threshold, config.triage_threshold)).first()[0]
     budget = 0 if mode == "triage" else max_fetch
     chosen = queue.limit(budget)
-    fetched = chosen.select(F.lit(run).alias("run"), F.col("id").alias("name"), "seq", F.element_at("changes", -1)["rev"].alias("rev"), F.col("deleted").alias("feed_deleted"), F.lit(int(now.timestamp())).alias("now")).join(
+    fetched = chosen.select(F.lit(run).alias("run"), F.col("id").alias("name"), "seq", F.try_element_at("changes", F.lit(-1))["rev"].alias("rev"), F.col("deleted").alias("feed_deleted"), F.lit(int(now.timestamp())).alias("now")).join(
         documents.select("name", "status", "raw"), "name", "left"
     )
     landed, absent = fetched.where("status is not null"), fetched.where("status is null")

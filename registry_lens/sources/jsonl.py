@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry_lens.config import CONFIG, Config
 from registry_lens.functions.documents import is_kind
-from registry_lens.functions.privacy import redact_columns
+from registry_lens.functions.privacy import redact, redact_json
 from registry_lens.session import hadoop_fs, list_names, read_text, write_text_once
 
 Guard = Callable[[DataFrame], DataFrame]
@@ -68,7 +68,8 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 def read_advisories(spark: SparkSession, path: str, salt: str) -> DataFrame:
     """Advisory records, redacted; the record itself stays as JSON text in ``raw``."""
     rows = read_lines(spark, path).select("key", "line_no", F.from_json("line", "id string, modified string, published string, summary string").alias("r"), F.col("line").alias("raw"))
-    return redact_columns(rows.select("key", "line_no", "r.*", "raw"), salt)
+    flat = rows.select("key", "line_no", "r.*", redact_json("raw", salt).alias("raw"))
+    return flat.withColumns({c: redact(c, salt) for c in ("id", "summary")})
 
 
 def read_documents(spark: SparkSession, sharded: str, legacy: str | None = None) -> DataFrame:
