@@ -48,7 +48,7 @@ class MessageStore:
         self.columns: str = seen.get("columns", "")
         self.compacted: list[str] = seen.get("compacted", [])
         self.runs: list[str] = seen.get("runs", [])
-        if self.runs:
+        if self.columns:
             self._create(self.generation)
             spark.sql(f"msck repair table {self._table(self.generation)}")
 
@@ -62,15 +62,15 @@ class MessageStore:
             f"clustered by ({keys}) sorted by ({keys}) into {self.buckets} buckets location '{self.path}/gen={generation}'"
         )
 
-    def _save(self, rows: DataFrame, run: str, generation: int) -> None:
-        """Write one run; what an earlier attempt left of it is replaced, other runs are not touched."""
-        self.columns = self.columns or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    def _save(self, rows: DataFrame, generation: int) -> None:
+        """Write runs (column ``__run``); what an earlier attempt left of them is replaced, other runs are not touched."""
+        self.columns = self.columns or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__run")
         self._create(generation)
         mode = "spark.sql.sources.partitionOverwriteMode"
         before = self.spark.conf.get(mode)
         self.spark.conf.set(mode, "dynamic")
         try:
-            rows.withColumn("__run", F.lit(run)).write.insertInto(self._table(generation), overwrite=True)
+            rows.write.insertInto(self._table(generation), overwrite=True)
         finally:
             self.spark.conf.set(mode, before)
 
@@ -87,19 +87,26 @@ class MessageStore:
         return F.min_by("body", F.struct(*(F.col("body")[f.name] for f in fields if orderable(f.dataType))))
 
     def _collapse(self, rows: DataFrame) -> DataFrame:
+        """One row per identifier: how many rows there were, and the first delivery's body."""
         return rows.groupBy(*self.key).agg(F.sum("copies").alias("copies"), self._first(rows).alias("body"))
 
+        rest = [c for c in messages.columns if c not in {*self.key, *self.order, *more}]
+        return messages.select(*self.key, F.lit(1).cast("long").alias("copies"), F.struct(*self.order, *rest).alias("body"), *more)
+
     def upsert(self, batch: str, messages: DataFrame) -> bool:
         """Write a batch as a sorted run; the same batch again replaces it. False when it has been compacted already.
 
         The collapse combines before the shuffle, so a message that makes up a third of a
-        batch crosses it once per task.
+        batch crosses it once per task. That shuffle is also the bucketing when the session
+        shuffles into as many partitions as the store has buckets.
         """
         if batch in self.compacted:
             return False
         rest = [c for c in messages.columns if c not in {*self.key, *self.order}]
-        rows = messages.select(*self.key, F.lit(1).cast("long").alias("copies"), F.struct(*self.order, *rest).alias("body"))
-        self._save(self._collapse(rows).repartition(self.buckets, *self.key), f"run-{batch}", self.generation)
+        once = self._collapse(messages.select(*self.key, F.lit(1).cast("long").alias("copies"), F.struct(*self.order, *rest).alias("body")))
+        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) != self.buckets:
+            once = once.repartition(self.buckets, *self.key)
+        self._save(once.withColumn("__run", F.lit(f"run-{batch}")), self.generation)
         if f"run-{batch}" not in self.runs:
             self.runs.append(f"run-{batch}")
             self._commit()
@@ -107,7 +114,7 @@ class MessageStore:
 
     def merged(self) -> DataFrame:
         """All runs merged, each identifier once. Every bucket's runs are in one task already, so nothing is shuffled."""
-        if not self.runs:
+        if not self.columns:
             raise ValueError("the store is empty")
         rows = self.spark.table(self._table(self.generation))
         return self._collapse(rows.where(F.col("__run").isin(self.runs)).drop("__run"))
@@ -115,7 +122,7 @@ class MessageStore:
     def compact(self) -> DataFrame:
         """Merge all runs into one with each identifier once, and return it."""
         merged, base = self.merged(), f"base-{self.generation + 1}"
-        self._save(merged, base, self.generation + 1)
+        self._save(merged.withColumn("__run", F.lit(base)), self.generation + 1)
         self.compacted += [r.removeprefix("run-") for r in self.runs if r.startswith("run-")]
         self.generation, self.runs = self.generation + 1, [base]
         self._commit()
@@ -134,25 +141,27 @@ def plain_run(column: str) -> Column:
     return F.regexp_replace(trimmed, r"^(\d{4}-\d{2}-\d{2})[T ](\d{2})[:-](\d{2})[:-](\d{2})(?:[.,]\d+)?(?:Z|\+00:?00)?$", "$1T$2-$3-$4Z")
 
 
-def collapse_deliveries(observations: DataFrame, path: str, batches_per_run: int = 100) -> DataFrame:
+def collapse_deliveries(observations: DataFrame, path: str, runs: int = 3) -> DataFrame:
     """Exactly one row per message (name, run_id, rev), with the number of its deliveries and the first one's columns.
 
-    The deliveries come as runs of ``batches_per_run`` delivery batches, each upserted on its
-    own; the compaction then collapses what lies in several runs. Null and empty ``rev`` are
-    one identifier, as are all spellings of a name or run; a null name or run is ''. Further
-    columns, whatever their names, stay inside ``body``.
+    The deliveries come as ``runs`` upserts, stretches of consecutive batches; their number
+    is fixed, as each reads the input once. The compaction then collapses what lies in
+    several of them. Null and empty ``rev`` are one identifier, as are all spellings of a
+    name or run; a null name or run is ''. The other columns, whatever their names, are in
+    ``body.given``; spellings of the first delivery that differ from the plain ones are in
+    ``body.spelled``.
     """
-    given = F.struct(*(F.col(c).alias(c) for c in observations.columns))
+    plain = {"name": plain_name("name"), "run_id": plain_run("run_id"), "rev": F.coalesce("rev", F.lit(""))}
+    batch = F.coalesce(F.col("batch_id").cast("long"), F.lit(0))
+    low, high = observations.agg(F.min(batch), F.max(batch)).first()
     rows = observations.select(
-        plain_name("name").alias("name"),
-        plain_run("run_id").alias("run_id"),
-        F.coalesce("rev", F.lit("")).alias("rev"),
+        *(c.alias(n) for n, c in plain.items()),
         F.col("delivered_at").alias("delivered_at"),
-        F.floor(F.coalesce(F.col("batch_id"), F.lit(-1)) / batches_per_run).alias("segment"),
-        given.alias("given"),
+        F.floor((batch - (low or 0)) * runs / ((high or 0) - (low or 0) + 1)).alias("stretch"),
+        F.struct(*(F.col(c).alias(c) for c in observations.columns if c not in {*plain, "delivered_at"})).alias("given"),
+        F.struct(*(F.when(F.col(n) != c, F.col(n)).alias(n) for n, c in plain.items())).alias("spelled"),
     )
-    store = MessageStore(observations.sparkSession, path, ["name", "run_id", "rev"], ["delivered_at"])
-    segments = sorted(r[0] for r in rows.select("segment").distinct().collect())  # one per hundred batches
-    for segment in segments or [0]:
-        store.upsert(f"{segment}", rows.where(F.col("segment") == segment).drop("segment"))
+    store = MessageStore(observations.sparkSession, path, list(plain), ["delivered_at"])
+    for k in range(runs):
+        store.upsert(f"stretch-{k}", rows.where(F.col("stretch") == k).drop("stretch"))
     return store.compact()

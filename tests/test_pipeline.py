@@ -47,6 +47,7 @@ def test_history_late_and_corrected_rows(spark):
         ("b", "2026-03-05", at(6), "not json", None, "suspected", None, None),
         ("b", "2026-03-06", at(7), None, None, None, None, None),
         (None, "2026-03-06", at(7), None, None, None, None, None),
+        ("z", "someday", None, '["q"]', "z" * 20000, "", None, None),
         ("c", None, at(7), None, None, None, None, None),
     ]
     assert chains(spark, rows + rows) == [
@@ -54,6 +55,7 @@ def test_history_late_and_corrected_rows(spark):
         ("a", "2026-03-03", "2026-03-04", "1.1", None),
         ("a", "2026-03-04", None, "1.2", None),
         ("b", "2026-03-05", None, None, "suspected"),
+        ("z", "someday", None, "z" * 20000, ""),
     ]
 
 
@@ -271,6 +273,10 @@ def test_store_upserts_are_idempotent_and_merge_without_a_shuffle(spark):
     store.upsert("two", row(("a", "0"), ("c", "2")))
     read = lambda df: sorted((r["k"], r["copies"], r["body"]["v"]) for r in df.collect())
     assert read(store.merged()) == [("a", 3, "0"), ("b", 1, "1"), ("c", 1, "2")]
+    sized = dedup_store.MessageStore(spark, work_dir(spark, "s"), ["k"], ["delivered_at"], buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sized.upsert("one", spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit(at(2)).alias("delivered_at")))
+    files = sized.spark.table(sized._table(0)).select(F.input_file_name().alias("f")).distinct().count()
+    assert files == sized.buckets and sized.merged().count() == 500  # one file per bucket, without a shuffle of its own
     assert "Exchange" not in store.merged()._jdf.queryExecution().executedPlan().toString()
     assert read(store.compact()) == [("a", 3, "0"), ("b", 1, "1"), ("c", 1, "2")]
     assert not store.upsert("one", row(("z", "1")))  # compacted already
