@@ -7,7 +7,7 @@ import json
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,6 +140,17 @@ def quarantine(df: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFram
     return marked.where("__rule is null").drop("__rule"), marked.where("__rule is not null").withColumnRenamed("__rule", "rule")
 
 
+#: Names reserved for documentation and tests.
+RESERVED = r"(?i)(^|[@.])(example\.(com|net|org)|example|test|invalid|localhost)$"
+
+
+def audit_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, address) of every address in the text files below a folder that is neither exempt nor of a reserved domain."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(path, wholetext=True)
+    found = files.select(F.col("_metadata.file_path").alias("path"), F.explode(personal_addresses("value")).alias("address"))
+    return found.where(~F.col("address").rlike(RESERVED)).distinct()
+
+
 def check_text(text: str, strict: bool = True) -> str:
     """Driver-side gate for rendered reports; returns the text or raises with a masked sample."""
     for m in re.finditer(EMAIL, text):

@@ -38,6 +38,11 @@ def size_of(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
+def store_advisories(records: DataFrame, path: str, salt: str, config: Config = CONFIG) -> None:
+    """Advisory records (id, modified, published, summary, details, ...) into the archive: redacted, then gated."""
+    jsonl.write_jsonl(privacy.redact_columns(records, salt), path, privacy.gate, config)
+
+
 def _digest(df: DataFrame) -> str:
     """Digest of a stored set of lines, whatever files they lie in."""
     total = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(F.to_json(F.struct(*df.columns))).cast("decimal(20,0)")).cast("string").alias("s")).first()
@@ -51,6 +56,7 @@ def record(spark: SparkSession, store: str, feed_folder: str, documents: DataFra
     gap row; an observation that breaks the gate is dropped and leaves a gap row, too.
     """
     cursor = read_cursor(spark, store) or Cursor(0)
+    pending = cursor.pending_key  # a blob whose run never completed: its rows are queued again
     run = now.strftime("%Y-%m-%dT%H-%M-%SZ")
     spark.dataSource.register(FeedSource)
     drained = spark.read.format("registry_feed").option("path", feed_folder).option("since", cursor.last_seq).load()
@@ -67,7 +73,10 @@ def record(spark: SparkSession, store: str, feed_folder: str, documents: DataFra
     cursor = cursor.advance(receipt, now)
     write_cursor(spark, store, cursor)  # B
     stored = jsonl.read_feed(spark, f"{store}/{key}").withColumn("arrived_at", F.lit(now.replace(tzinfo=None)))
-    queue = feed.work_queue(jsonl.read_queue(spark, f"{store}/queue"), stored.select("seq", "id", "changes", "deleted", "arrived_at")).where("id is not null")
+    parts = [jsonl.read_queue(spark, f"{store}/queue"), stored]
+    if pending is not None:
+        parts.append(jsonl.read_feed(spark, f"{store}/{pending}").withColumn("arrived_at", F.lit(now.replace(tzinfo=None))))
+    queue = feed.work_queue(*(p.select("seq", "id", "changes", "deleted", "arrived_at") for p in parts)).where("id is not null")
     waiting = queue.count()
     state = spark.range(1).select(tier(F.lit(used_bytes), config.storage_free_bytes, config.soft_fraction, config.hard_fraction).alias("t"))
     mode = state.select(run_mode(F.col("t"), F.lit(waiting), config.backlog_threshold, config.triage_threshold)).first()[0]

@@ -54,7 +54,7 @@ class FeedReader(DataSourceReader):
         return plan(self.folder, self.since, self.last)
 
     def read(self, partition):
-        return read_page(partition)
+        return read_page(partition) if partition is not None else iter(())  # none: there was no page to plan
 
 
 class FeedStreamReader(DataSourceStreamReader):
@@ -76,7 +76,7 @@ class FeedStreamReader(DataSourceStreamReader):
         return plan(self.folder, start["seq"], end["seq"])
 
     def read(self, partition):
-        return read_page(partition)
+        return read_page(partition) if partition is not None else iter(())  # none: there was no page to plan
 
     def commit(self, end: dict) -> None:
         """Nothing to release: pages stay."""

@@ -154,6 +154,54 @@ def test_mirror_and_restore(spark, archive):
         cli.run_mirror(spark, store, store + "/", 1)
 
 
+def test_a_crash_loses_nothing(spark, monkeypatch):
+    store, feed = local(spark, "crash"), local(spark, "crash-pages")
+    land(feed, 0, [(1, "a"), (2, "b")])
+    documents = spark.createDataFrame([("a", 200, document("a", {"1.0.0": 2})), ("b", 200, document("b", {"1.0.0": 2})), ("c", 200, document("c", {"1.0.0": 2}))], DOCS)
+    real = jsonl.write_jsonl
+
+    def feed_fails(df, path, *more, **kw):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(jsonl, "write_jsonl", feed_fails)  # before A: the cursor must not move
+    with pytest.raises(OSError):
+        recorder.record(spark, store, feed, documents, SALT, NOW)
+    assert recorder.read_cursor(spark, store) is None
+
+    def observations_fail(df, path, *more, **kw):
+        if "/raw/obs/" in path:
+            raise OSError("killed")
+        return real(df, path, *more, **kw)
+
+    monkeypatch.setattr(jsonl, "write_jsonl", observations_fail)  # between B and C
+    with pytest.raises(OSError):
+        recorder.record(spark, store, feed, documents, SALT, NOW)
+    stuck = recorder.read_cursor(spark, store)
+    assert stuck.last_seq == 2 and stuck.pending_key is not None
+    monkeypatch.setattr(jsonl, "write_jsonl", real)
+    land(feed, 2, [(3, "c")])
+    recorder.record(spark, store, feed, documents, SALT, NOW + dt.timedelta(hours=1), max_fetch=2)
+    seen = lambda: sorted(r["name"] for r in jsonl.read_observations(spark, f"{store}/raw/obs").collect())
+    assert seen() == ["b", "c"]  # newest first, a deferred
+    recorder.record(spark, store, feed, documents, SALT, NOW + dt.timedelta(hours=2))
+    assert seen() == ["a", "b", "c"] and recorder.read_cursor(spark, store).pending_key is None
+
+
+def test_advisories_are_stored_redacted(spark):
+    from registry_lens.functions import privacy
+
+    path = work_dir(spark, "osv")
+    records = spark.createDataFrame([("MAL-1", "2026-03-05T00:00:00Z", "by ann@corp.test", [("Ann", ["mailto:ann@corp.test"])])], "id string, modified string, summary string, credits array<struct<name:string,contact:array<string>>>")
+    recorder.store_advisories(records, path, SALT)
+    (row,) = jsonl.read_advisories(spark, path, SALT).collect()
+    assert row["id"] == "MAL-1" and "@" not in row["raw"] and row["summary"].startswith("by h:")
+    folder = local(spark, "audit")
+    os.makedirs(folder)
+    with open(f"{folder}/a.txt", "w") as f:
+        f.write("x@example.com y@sub.invalid z@real.dev git@host.dev")
+    assert [r["address"] for r in privacy.audit_files(spark, folder).collect()] == ["z@real.dev"]
+
+
 def test_usage_store_check_and_cli(spark, archive, monkeypatch):
     store, _, _ = archive
     monkeypatch.delenv("LENS_SALT", raising=False)
