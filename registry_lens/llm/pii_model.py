@@ -29,7 +29,7 @@ ORG_WORDS = (
     "project community collective office consulting systems software technologies networks solutions services partners department ministry bank press union council"
 ).split()
 STREET_WORDS = "street st avenue ave road rd lane ln terrace close drive dr court ct square sq way boulevard blvd place pl row crescent grove hill gardens".split()
-STREET_HEADS = "rue calle avenida via allée place chemin plaza camino".split()
+STREET_HEADS = "rue avenue boulevard calle avenida via allée place chemin plaza camino".split()
 STREET_TAILS = "straße strasse weg gasse allee platz ufer damm".split()
 FUNCTION_WORDS = (
     "the a an and or of in on to for from by with at as is are was were be it its this that these those my your our their his her no not new version versions package packages "
@@ -241,7 +241,7 @@ def _names(text: str, field: str, longest: int = 8):
                     features.append("organisation")
                 if any(w in _T for w in low):
                     features.append("title")
-                if any(w in _F for w in low):
+                if any(w in _F for w in low if len(w) > 1):
                     features.append("function_word")
                 if all(w.isupper() for w in inner if len(w) > 1):
                     features.append("capitals")
@@ -251,7 +251,7 @@ def _names(text: str, field: str, longest: int = 8):
                 for j, side in ((i - 1, "left"), (k + 1, "right")):
                     if 0 <= j < len(units):
                         join = text[units[j][1] : a] if side == "left" else text[units[k][1] : units[j][0]]
-                        kind = "org" if small[j] in _O else "title" if small[j] in _T else "function" if small[j] in _F else "particle" if small[j] in _P else "word"
+                        kind = "org" if small[j] in _O else "title" if small[j] in _T else "initial" if len(small[j]) == 1 else "function" if small[j] in _F else "particle" if small[j] in _P else "word"
                         if not (dotted and side == "right" and len(small[k]) > 1):
                             features.append(f"{side}_{kind}{'_comma' if ',' in join else '_hyphen' if '-' in join else '_line' if chr(10) in join else ''}")
                 if text[b : b + 2] in ("'s", "’s"):
