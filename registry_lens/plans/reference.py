@@ -381,29 +381,29 @@ def osa_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # daily report
 
-_TAPE = (
+_DAY_EVENTS = (
     "with ev as (select * from (select *, row_number() over (partition by id order by run_id nulls first, observed_at, kind, name, version nulls first, \"at\", seq, backfill nulls first, detail) as rn from tape_events where id is not null) where rn = 1), "
     f"e as (select *, epoch_us(try_cast(observed_at as timestamptz)) // 1000000 as seen, \"at\" >= {DAY_S} and \"at\" < {DAY_S + 86400} as today, coalesce(backfill, 0) = 0 as fresh from ev), "
     f"t as (select *, seen >= {DAY_S} and seen < {DAY_S + 86400} as seen_today from e)"
 )
 
 
-def _tape(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.first_sightings(table(spark, sf_dir, "tape_events").where("id is not null"))
 
 
 @query(
-    _TAPE
+    _DAY_EVENTS
     + "select count(*) filter (where kind = 'publish' and today) as publishes, count(*) filter (where kind = 'publish' and today and json_extract_string(detail, '$.isNewPackage') = 'true') as new_packages, count(*) filter (where kind = 'package_unpublish' and today) as package_unpublishes, "
     "count(*) filter (where kind = 'version_unpublish' and seen_today and fresh) as version_unpublishes, count(*) filter (where kind = 'maintainer_change' and today) as maintainer_changes, count(*) filter (where kind = 'rev_gap' and today) as rev_gaps, count(*) filter (where kind = 'gone' and today) as gone from t"
 )
 def digest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.totals(_tape(spark, sf_dir), digest.Day(DAY))
+    return digest.totals(_first_events(spark, sf_dir), digest.Day(DAY))
 
 
-@query(_TAPE + "select kind, count(*) as n from t where today group by kind")
+@query(_DAY_EVENTS + "select kind, count(*) as n from t where today group by kind")
 def day_counts_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.counts_by_kind(_tape(spark, sf_dir), digest.Day(DAY))
+    return digest.counts_by_kind(_first_events(spark, sf_dir), digest.Day(DAY))
 
 
 @query(
@@ -416,29 +416,29 @@ def distinct_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
 _GRAVE = "select id, name, \"at\", json_extract_string(detail, '$.by') as by, try_cast(json_extract_string(detail, '$.ageAtDeathDays') as bigint) as age_days, case when json_type(detail, '$.versions') = 'ARRAY' then json_array_length(detail, '$.versions') else 0 end::bigint as versions_lost from t where kind = 'package_unpublish'"
 
 
-@query(f"{_TAPE} {_GRAVE} and today")
+@query(f"{_DAY_EVENTS} {_GRAVE} and today")
 def graveyard_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.graveyard(_tape(spark, sf_dir), digest.Day(DAY))
+    return digest.graveyard(_first_events(spark, sf_dir), digest.Day(DAY))
 
 
-@query(f"{_TAPE} {_GRAVE} and \"at\" < {DAY_S} and seen_today order by \"at\" desc, name, id limit 25")
+@query(f"{_DAY_EVENTS} {_GRAVE} and \"at\" < {DAY_S} and seen_today order by \"at\" desc, name, id limit 25")
 def resurfaced_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.resurfaced(_tape(spark, sf_dir), digest.Day(DAY))
+    return digest.resurfaced(_first_events(spark, sf_dir), digest.Day(DAY))
 
 
 @query(
-    _TAPE
+    _DAY_EVENTS
     + ", v as (select name, version, count(*) as c, min(\"at\") as oldest, row_number() over (partition by name order by version nulls last) as nth from t where kind = 'version_unpublish' and seen_today and fresh group by name, version) "
     "select name, sum(c)::bigint as n, min(oldest) as oldest, coalesce(string_agg(version, ',' order by nth) filter (where nth <= 5), '') as versions from v group by name order by n, oldest, name limit 25"
 )
 def yank_groups_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.version_yanks(_tape(spark, sf_dir), digest.Day(DAY))
+    return digest.version_yanks(_first_events(spark, sf_dir), digest.Day(DAY))
 
 
-@query(_TAPE + "select name, score from (select name, max(version_count)::double as score from packages group by name) where name in (select name from t where kind = 'publish' and today) order by score desc, name limit 10")
+@query(_DAY_EVENTS + "select name, score from (select name, max(version_count)::double as score from packages group by name) where name in (select name from t where kind = 'publish' and today) order by score desc, name limit 10")
 def watchlist_top10(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = table(spark, sf_dir, "packages").groupBy("name").agg(F.max("version_count").cast("double").alias("score"))
-    return digest.watchlist(scores, _tape(spark, sf_dir), digest.Day(DAY))
+    return digest.watchlist(scores, _first_events(spark, sf_dir), digest.Day(DAY))
 
 
 @query(
@@ -450,11 +450,11 @@ def malicious_day_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    _TAPE
+    _DAY_EVENTS
     + "select name, version, \"at\", array_to_string(from_json(json_extract(detail, '$.installScripts'), '[\"VARCHAR\"]'), ',') as scripts from t where kind = 'publish' and today and json_array_length(detail, '$.installScripts') > 0 order by \"at\" desc, name, version limit 25"
 )
 def install_scripts_top25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest.install_scripts(_tape(spark, sf_dir), digest.Day(DAY))
+    return digest.install_scripts(_first_events(spark, sf_dir), digest.Day(DAY))
 
 
 # ledger: an adapter turns the runs into manifests in which every seventh digest is edited and every eleventh parent is claimed twice
