@@ -28,8 +28,8 @@ PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER
 STRING = re.compile(r'"((?:[^"\\]|\\.)*)"(\s*:)?', re.DOTALL)
 ESCAPE = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\.", re.DOTALL)
 KNOWN_FIELDS = ("name", "contact", "summary", "details", "notes")
-#: What a text must have for any gate to propose something: an at sign, written out or not, an upper-case letter, or five digits.
-WORTH_A_LOOK = re.compile(r"@|\bat\b|[^\W\d_a-z]|(?:\d\D*){5}", re.UNICODE)
+#: What a text must have for any gate to propose something: an at sign, written out, percent-encoded or not, an upper-case letter, or five digits.
+WORTH_A_LOOK = re.compile(r"@|%40|\bat\b|[^\W\d_a-z]|(?:\d\D*){5}", re.UNICODE)
 #: Longest text whose items a worker remembers; short ones recur (versions, ecosystems, names of organisations).
 SHORT = 80
 

@@ -49,9 +49,9 @@ _F, _R = frozenset(FUNCTION_WORDS), frozenset(ROLES)
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\s]", re.UNICODE)
 MARKS = "̀-ͯ"
-AT = r"(?:@|\s*[\[({<]\s*(?:at|AT|At|@)\s*[\])}>]\s*|\s+(?:at|AT)\s+)"
+AT = r"(?:@|%40|\s*[\[({<]\s*(?:at|AT|At|@)\s*[\])}>]\s*|\s+(?:at|AT)\s+)"
 DOT = r"(?:\.|\s*[\[({<]\s*(?:dot|DOT|Dot|\.)\s*[\])}>]\s*|\s+(?:dot|DOT)\s+)"
-EMAIL = re.compile(rf"(?<![\w.+\-@/%])([^\W_](?:[\w.+\-]{{0,62}}[^\W])?)({AT})([^\W_][\w\-]{{0,62}})((?:{DOT}[^\W\d_][\w\-]{{1,30}}){{1,5}})(?![\w\-])", re.UNICODE)
+EMAIL = re.compile(rf"(?<![\w.+\-@/%])([^\W_](?:[\w.+\-]{{0,62}}(?:%2[Bb][\w.+\-]{{0,62}})?[^\W])?)({AT})([^\W_][\w\-]{{0,62}})((?:{DOT}[^\W\d_][\w\-]{{1,30}}){{1,5}})(?![\w\-])", re.UNICODE)
 LABEL = re.compile(rf"{DOT}[^\W\d_][\w\-]{{1,30}}", re.UNICODE)
 PHONE = re.compile(r"(?<![\w@/.\-+])(?:\+|\(\+?)?\d(?:[  ]?[().\-/]?[  ]?[(]?\d)*(?![\w@/])")
 CHUNKS = re.compile(r"(?<![\w@/.\-])[A-Z0-9]+(?:[ \-][A-Z0-9]+)*(?![\w@/])")
@@ -147,11 +147,11 @@ def _emails(text: str, field: str):
         start = m.start()
         if local.lower().startswith("mailto:"):
             start += 7
-        role = re.split(r"[+]", local.lower())[0]
+        role = re.split(r"\+|%2b", local.lower())[0]
         plain = sign == "@"
         for n, end in enumerate(ends):
             dots = text[domain_end:end]
-            features = ["bias", "plain_at" if plain else "worded_at", f"labels={n + 1}", "more_labels" if n + 1 < len(ends) else "all_labels"]
+            features = ["bias", "plain_at" if plain else "encoded_at" if sign == "%40" else "worded_at", f"labels={n + 1}", "more_labels" if n + 1 < len(ends) else "all_labels"]
             features.append("plain_dots" if not re.search(r"[\[({<]|\s", dots) else "worded_dots")
             if not plain and re.search(r"^\s+at\s+$", sign) and not re.search(r"dot|[\[({<]", dots):
                 features.append("prose")

@@ -77,10 +77,13 @@ class Generator:
             lambda: f"{d(6)}-{d(4)}", lambda: f"{letter()}{d(7)}", lambda: f"{letter()}{d(2)}{letter()}{d(2)}{letter()}{d(3)}", lambda: f"{d(2)} {d(3)} {d(3)} {d(3)}", lambda: f"{letter()}{letter()}{d(7)}",
         ))()
 
-    def email(self) -> str:
+    def local_part(self) -> str:
         r = self.r
         a, b = (re.sub(r"[^a-z]", "e", self.word().lower()) for _ in range(2))
-        local = r.choice((f"{a}.{b}", f"{a}_{b}", f"{a[0]}{b}", f"{b}{r.randint(1, 99)}", f"{a}+npm{r.randint(0, 9)}", f"{a}-{b}", f"{a.title()}.{b.title()}"))
+        return r.choice((f"{a}.{b}", f"{a}_{b}", f"{a[0]}{b}", f"{b}{r.randint(1, 99)}", f"{a}+npm{r.randint(0, 9)}", f"{a}-{b}", f"{a.title()}.{b.title()}"))
+
+    def email(self) -> str:
+        r, local = self.r, self.local_part()
         domain = r.choice(_DOMAINS)
         if r.random() < 0.1:
             return f"{local}@{domain}".upper()
@@ -90,6 +93,11 @@ class Generator:
         dot = r.choice((" dot ", "(dot)", " [dot] ", "[dot]", "."))
         return local + at + domain.replace(".", dot)
 
+    def encoded_email(self) -> str:
+        """As the query of a URL has it."""
+        plus = self.r.choice(("+", "%2B"))
+        return f"{self.local_part().replace('+', plus)}%40{self.r.choice(_DOMAINS)}"
+
     def role_email(self) -> str:
         r = self.r
         local = r.choice(("security", "abuse", "support", "info", "admin", "noreply", "no-reply", "postmaster", "team", "press", "git"))
@@ -131,12 +139,13 @@ class Generator:
         return ".".join(str(self.r.randint(0, 30)) for _ in range(3))
 
 
-#: {N} name, {E} email, {P} phone, {I} identity number, {A} address are labelled; lower-case fields are not.
+#: {N} name, {E} email, {U} email in a URL, {P} phone, {I} identity number, {A} address are labelled; lower-case fields are not.
 TEXTS = (
     "Commit signed off by {N} <{E}>.", "Reported privately by {N}.", "Reported by {N} on 2026-02-{two}.", "{N} found a backdoor in {pkg} {ver}", "Dr. {N} of {org} confirmed the finding on 2026-02-{two}.",
     "{N} of {org} confirmed the finding on 2026-02-{two}.", "According to {N}, version {ver} is clean.", "According to Dr. {N}, no release is affected.", "{N}'s account was taken over; recovery mail went to {E}.",
     "Credit: {N} ({E}), with help from {org}.", "Author field: {N} <{E}> (https://{plain}.example)", "Author field: {N} <{E}> (https://{plain}.example) Version {ver} adds a script.", "Author: {N}", "Ping me ({E}) or my colleague {N}.",
     "Ping {N} or write to {E}.", "Ansprechpartner ist {N}, Telefon {P}.", "Takeover of {pkg}: former owner {N} can be reached at {P}", "Account of {N} <{E}> used to publish {pkg}", "Malicious code in {pkg}, reported by {N}",
+    "Stolen tokens went to https://drop.{plain}.invalid/c?u={U}&v={ver}", "See https://{plain}.invalid/c?u={U} for the list.", "Mail is sent by https://{plain}.example/c?to={encoded_role}&v={ver}", "See https://{plain}.example/{plain}?ref={pkg}%40{ver} for the list.",
     "Contact {E} for the write-up.", "Two addresses were used, {E},{E}, both since disabled.", "Leak in {pkg}; write to {E}", "{pkg} sends environment variables to {E}", "Questions go to {role}.", "{pkg}: leaked publish token, ask {role}",
     "Mail {role} or {E} first.", "Please call {P} before publishing details.", "The readme still lists tel. {P} and {A} as the office of the owner.", "Phone {P} or fax {P}.", "His mobile is {P}, ask for {N}.", "Call me at {P}.",
     "SSN {I} appears in fixtures/{plain}.json.", "Passport no. {I} was hard-coded in the test suite.", "{I} was hard-coded in the test suite.", "Tax id {I} in the licence header, phone {P}.", "The stolen archive holds a scan of the identity card, number {I}, of one maintainer.",
@@ -151,17 +160,17 @@ TEXTS = (
 )
 CREDIT_NAMES = ("{N}", "{N}", "{org}", "{login}")
 CONTACTS = ("{E}", "mailto:{E}", "{P}", "{P}", "https://{plain}.example/{plain}", "{role}", "mailto:{role}", "git@git.lab.example")
-LABELS = {"N": "name", "E": "email", "P": "phone", "I": "id_number", "A": "address"}
+LABELS = {"N": "name", "E": "email", "U": "email", "P": "phone", "I": "id_number", "A": "address"}
 
 
 def fill(g: Generator, template: str) -> tuple[str, set[tuple[str, int, int]]]:
     """A text of the template, and its labelled spans."""
     text, gold = "", set()
     plain = {
-        "pkg": g.package, "ver": g.version, "org": lambda: g.r.choice(_ORGS), "plain": lambda: g.r.choice(_PLAIN), "Word": g.word, "role": g.role_email, "two": lambda: f"{g.r.randint(1, 28):02d}", "three": lambda: str(g.r.randint(100, 999)),
+        "pkg": g.package, "ver": g.version, "org": lambda: g.r.choice(_ORGS), "plain": lambda: g.r.choice(_PLAIN), "Word": g.word, "role": g.role_email, "encoded_role": lambda: g.role_email().replace("@", "%40"), "two": lambda: f"{g.r.randint(1, 28):02d}", "three": lambda: str(g.r.randint(100, 999)),
         "four": lambda: str(g.r.randint(1000, 9999)), "hex": lambda: "".join(g.r.choice("0123456789abcdef") for _ in range(40)), "login": lambda: g.r.choice(_PLAIN) + g.digits(4),
     }
-    draw = {"N": g.name, "E": g.email, "P": g.phone, "I": g.identity, "A": g.address}
+    draw = {"N": g.name, "E": g.email, "U": g.encoded_email, "P": g.phone, "I": g.identity, "A": g.address}
     for part in re.split(r"(\{\w+\})", template):
         key = part[1:-1] if part.startswith("{") else None
         if key in LABELS:

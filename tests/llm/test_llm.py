@@ -232,6 +232,27 @@ def test_sentences():
         assert {(k, text[a:b]) for a, b, k in pii.find_in_text(model, text, "details")} == want
 
 
+ENCODED = [
+    ("https://drop.gutter.invalid/c?u=iskarvholt%40example.org&v=6.4.13", ["iskarvholt%40example.org"]),
+    ("https://drop.quill.invalid/c?u=pavel+npm0%40example.com", ["pavel+npm0%40example.com"]),
+    ("https://drop.quill.invalid/c?u=pavel%2Bnpm0%40dept.corp.example&v=1.0.0", ["pavel%2Bnpm0%40dept.corp.example"]),
+    ("https://jetty.example/c?to=noreply%40example.org&v=1.0.0", []),
+    ("https://jetty.example/plain?ref=pkg-x%401.2.3", []),
+]
+
+
+@pytest.mark.parametrize("text,want", ENCODED)
+def test_percent_encoded_emails(text, want):
+    model = pii.trained()
+    for field in ("details", "other"):
+        items = pii.find_in_text(model, text, field)
+        assert [(k, text[a:b]) for a, b, k in items] == [("email", w) for w in want]
+        raw = json.dumps({"urls": [text]})
+        found = pii.find_in_json(model, raw)
+        assert [raw[a:b] for a, b, _ in found] == want
+        assert json.loads(pii.replace(raw, found))["urls"] == [text.replace(want[0], "[EMAIL]") if want else text]
+
+
 def test_personal_items_in_spark(spark):
     raw = json.dumps({"id": "X-1", "details": "Line\nJürgen Prewitt found a backdoor in pkg-x 1.2.3", "credits": [{"name": "Zoë Lund", "contact": ["mailto:z.lund@example.com", "02.99.00.28.86"]}, {"name": "Larch Labs"}], "email": "support@example.com"})
     rows = [("a", "Ana Prewitt found a backdoor in pkg-y 2.0.0", raw, "clash"), ("b", None, None, None), ("c", "", "", ""), ("d", "x" * 60000, "{broken Ana Prewitt", None), (None, "Contact ana.p@example.com for the write-up.", None, None)]
