@@ -3,11 +3,9 @@
 Every token boundary of a text has a penalty that tells how natural a cut would be there.
 The program chooses, among all sequences of cuts whose pieces respect the size limit with
 the overlap included, the one with the least sum of cut penalties and of squared unused
-shares of the limit; being convex, the latter also evens out the sizes. Cuts are looked for
-at ends of paragraphs, lines and sentences; at ends of words only in stretches of more than
-``GAP`` tokens without those, and inside words only where such a stretch has no word end.
-In such stretches, where one place is as good as the next, the best of every ``STRIDE``
-tokens is enough.
+shares of the limit; being convex, the latter also evens out the sizes. It looks at every
+token boundary: as pieces are bounded, each has at most ``limit - overlap`` predecessors,
+and their distances are the same for all, so one step is a sum with a fixed vector.
 """
 
 from __future__ import annotations
@@ -23,9 +21,8 @@ from registry_lens.llm.bpe import broadcast_vocabulary, map_encoded
 PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, INSIDE, IN_CHARACTER = 0.0, 0.2, 0.4, 1.2, 1.6, 4.0, 9.0
 #: Weight of the squared unused share of a piece.
 BALANCE = 2.0
-#: Tokens without a better place after which worse places are considered.
-GAP = 48
-STRIDE = 8
+#: Texts solved side by side; their windows fit into a core's cache.
+SIDE = 64
 
 
 def _flags(chars: bytes) -> np.ndarray:
@@ -57,54 +54,32 @@ def cut_penalties(data: np.ndarray, ends: np.ndarray, first: np.ndarray, last: n
 
 
 def candidates(penalty: np.ndarray, n: int, overlap: int) -> np.ndarray:
-    """Cut positions looked at: the natural ones, and in long stretches without them the less natural ones."""
-    use = penalty <= SENTENCE
-    for limit in (WORD, INSIDE, np.inf):
-        at = np.concatenate(([0], np.flatnonzero(use) + 1, [n]))
-        gaps = np.diff(at)
-        if (gaps <= GAP).all():
-            break
-        allowed = np.flatnonzero(np.repeat(gaps > GAP, gaps)[: n - 1] & (penalty <= limit))
-        stretch = allowed // STRIDE
-        ranked = np.lexsort((penalty[allowed], stretch))
-        use[allowed[ranked[np.unique(stretch[ranked], return_index=True)[1]]]] = True
-    cuts = np.flatnonzero(use) + 1
-    return cuts[cuts > overlap]
-
-
-def _solve(cuts: list[np.ndarray], costs: list[np.ndarray], limit: int, overlap: int, width: int) -> list[list[int]]:
-    """The program for several texts side by side: step j decides the j-th position of all of them.
-
-    ``cuts[k]`` ends with the text's size; ``width`` is the most predecessors any position has.
-    """
-    step, rows, most = limit - overlap, len(cuts), max(len(c) for c in cuts)
-    far = 4 * limit + max(int(c[-1]) for c in cuts)
-    at = np.full((rows, width + most), -far, dtype=np.int32)  # columns before ``width`` are padding
-    price = np.zeros((rows, width + most))
-    for k, (c, p) in enumerate(zip(cuts, costs)):
-        at[k, width : width + len(c)] = c
-        at[k, width + len(c) :] = far
-        price[k, width : width + len(p)] = p
-    # by the distance of two cuts the weight of the piece between them; too far apart is impossible
-    waste = np.append(BALANCE * ((step - np.arange(step + 1)) / limit) ** 2, np.inf)
-    whole = np.append(BALANCE * ((limit - np.arange(limit + 1)) / limit) ** 2, np.inf)
-    best = np.full(at.shape, np.inf)
-    back = np.full(at.shape, -1, dtype=np.int32)
-    line = np.arange(rows)
-    for j in range(width, width + most):
-        now = at[:, j]
-        total = best[:, j - width : j] + waste[np.minimum(now[:, None] - at[:, j - width : j], step + 1)]
+    """Cut positions looked at: all that leave the next piece something to overlap with."""
+    return np.arange(overlap + 1, n)
+
+
+def _solve(penalties: list[np.ndarray], sizes: list[int], limit: int, overlap: int) -> list[list[int]]:
+    """The program for several texts of more than ``limit`` tokens side by side: step j decides position j of all of them."""
+    step, rows, most = limit - overlap, len(sizes), max(sizes)
+    best = np.full((rows, most + 1), np.inf)  # the cost up to a cut at each position, its penalty included
+    for r, (penalty, n) in enumerate(zip(penalties, sizes)):
+        best[r, overlap + 1 : n] = penalty[overlap : n - 1]
+        best[r, n] = 0.0
+    # a single piece is best as far as it reaches: an earlier cut costs a piece more and leaves more unused
+    best[:, : limit + 1] += BALANCE * ((limit - np.arange(limit + 1)) / limit) ** 2
+    waste = BALANCE * (np.arange(step) / limit) ** 2  # of the pieces from the last ``step`` positions, the farthest first
+    back = np.zeros((rows, most + 1), dtype=np.int32)
+    total, line = np.empty((rows, step)), np.arange(rows)
+    for j in range(limit + 1, most + 1):
+        np.add(best[:, j - step : j], waste, out=total)
         k = total.argmin(axis=1)
-        value, single = total[line, k], whole[np.clip(now, 0, limit + 1)]
-        chained = value < single
-        best[:, j] = np.where(chained, value, single) + price[:, j]
-        back[:, j] = np.where(chained, j - width + k, -1)
+        best[:, j] += total[line, k]
+        back[:, j] = k + (j - step)
     out = []
-    for r, c in enumerate(cuts):
-        ends, j = [], width + len(c) - 1
-        while j >= 0:
-            ends.append(int(at[r, j]))
-            j = int(back[r, j])
+    for r, n in enumerate(sizes):
+        ends = [n]
+        while ends[-1] > limit:
+            ends.append(int(back[r, ends[-1]]))
         out.append(ends[::-1])
     return out
 
@@ -112,27 +87,15 @@ def _solve(cuts: list[np.ndarray], costs: list[np.ndarray], limit: int, overlap:
 def best_cuts(penalties: list[np.ndarray], sizes: list[int], limit: int, overlap: int) -> list[list[int]]:
     """Ends of the pieces of texts of ``sizes`` tokens; ``penalties[t][k]`` is that of a cut of text t after token k + 1.
 
-    Texts with like numbers of positions and predecessors are solved side by side.
+    Texts of like sizes are solved side by side.
     """
-    cuts, costs, shape = [], [], []
-    for penalty, n in zip(penalties, sizes):
-        inner = candidates(penalty, n, overlap) if n > limit else np.zeros(0, dtype=np.int64)
-        cuts.append(np.append(inner, n))
-        costs.append(np.append(penalty[inner - 1], 0.0))
-        width = int((np.arange(len(inner) + 1) - np.searchsorted(cuts[-1], cuts[-1] - (limit - overlap))).max())
-        shape.append((max(1, width), len(inner) + 1))
-    out: list[list[int]] = [[]] * len(sizes)
-    order = sorted(range(len(sizes)), key=lambda t: (shape[t][0] // 16, shape[t][1]))
+    out: list[list[int]] = [[n] for n in sizes]
+    order = sorted((t for t, n in enumerate(sizes) if n > limit), key=lambda t: sizes[t])
     k = 0
     while k < len(order):
-        group, width = [], 1
-        while k < len(order) and len(group) < 256:
-            wider = max(width, shape[order[k]][0])
-            if group and (wider * (len(group) + 1) > 16384 or shape[order[k]][1] > 2 * shape[group[0]][1] + 16):
-                break
-            group.append(order[k])
-            width, k = wider, k + 1
-        for t, ends in zip(group, _solve([cuts[t] for t in group], [costs[t] for t in group], limit, overlap, width)):
+        group = [t for t in order[k : k + SIDE] if sizes[t] - limit <= 1.25 * (sizes[order[k]] - limit) + 16]
+        k += len(group)
+        for t, ends in zip(group, _solve([penalties[t] for t in group], [sizes[t] for t in group], limit, overlap)):
             out[t] = ends
     return out
 
@@ -148,8 +111,8 @@ def split_documents(documents: DataFrame, limit: int = 512, overlap: int = 64, t
     cut in two by its tokens shows as U+FFFD. Smaller, empty and null texts have no row;
     equal rows are split each; further columns are ignored.
     """
-    if not 0 <= overlap < limit - GAP:
-        raise ValueError(f"the overlap must be at least {GAP} tokens smaller than the limit")
+    if not 0 <= overlap < limit:
+        raise ValueError("the overlap must be smaller than the limit")
     shared = broadcast_vocabulary(documents.sparkSession, tokenizer, folder)
 
     def pieces(encoder, batch, data, offsets, ids, at):

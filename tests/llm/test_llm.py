@@ -167,6 +167,29 @@ def test_cuts_are_optimal_over_their_places():
         assert cost == pytest.approx(brute_cuts(penalty, n, limit, overlap, places))
 
 
+def test_cuts_are_optimal_over_all_positions():
+    """Sizes that leave few places for the least number of pieces, and a clause end between near sentence ends."""
+    sizes = [954, 957, 960, 1403, 1408, 1409, 960, 700, 961, 513, 512]
+    penalties = [np.full(n - 1, splitting.INSIDE) for n in sizes[:6]]
+    prose = np.full(959, splitting.WORD)
+    prose[39::40] = splitting.SENTENCE
+    prose[511] = splitting.CLAUSE
+    penalties += [prose, np.full(699, splitting.WORD), np.full(960, splitting.INSIDE), np.full(512, splitting.INSIDE), np.full(511, splitting.INSIDE)]
+    r = np.random.default_rng(9)
+    for n in (600, 958, 1407):
+        penalties.append(r.choice([0.0, 0.2, 0.4, 1.2, 1.6, 4.0, 9.0], n - 1, p=[0.002, 0.003, 0.02, 0.05, 0.4, 0.425, 0.1]))
+        sizes.append(n)
+    limit, overlap = 512, 64
+    got = splitting.best_cuts(penalties, sizes, limit, overlap)
+    assert [len(ends) for ends in got[:11]] == [2, 2, 2, 3, 3, 4, 2, 2, 3, 2, 1] and got[6] == [512, 960]
+    for penalty, n, ends in zip(penalties, sizes, got):
+        starts = [0, *(e - overlap for e in ends[:-1])]
+        lengths = [e - s for s, e in zip(starts, ends)]
+        assert ends[-1] == n and max(lengths) <= limit and all(b > a for a, b in zip([0, *ends], ends))
+        cost = sum(splitting.BALANCE * ((limit - x) / limit) ** 2 for x in lengths) + sum(penalty[e - 1] for e in ends[:-1])
+        assert cost == pytest.approx(brute_cuts(penalty, n, limit, overlap, range(overlap + 1, n)))
+
+
 def test_penalties():
     text = "One. Two,\nthree\n\nvier é。end".encode()
     cut = lambda s: float(splitting.cut_penalties(np.frombuffer(text, dtype=np.uint8), np.array([text.index(s)]), np.array([0]), np.array([len(text)]))[0])
