@@ -38,6 +38,8 @@ FUNCTION_WORDS = (
     "pollution path traversal postal data exfiltrated records questions clone please thanks best regards hello dear who when where after before until since job build archive "
     "traffic offsets salted hash tracked main box flat p o der die das ein eine ist le les un une el los las"
 ).split()
+#: Function words and particles that are whole names, too.
+NAME_WORDS = "an le la du al ping my".split()
 ROLES = (
     "abuse admin administrator billing bot bugs ci contact cert csirt dev devnull dev-null do-not-reply donotreply enquiries feedback ftp git help helpdesk hello hg hostmaster "
     "info infosec issues it jobs legal list mail mailer-daemon maintainers marketing media news newsletter no-reply nobody noc noreply notifications npm office ops "
@@ -45,7 +47,7 @@ ROLES = (
 ).split()
 
 _P, _T, _O = frozenset(PARTICLES), frozenset(TITLES), frozenset(ORG_WORDS)
-_F, _R = frozenset(FUNCTION_WORDS), frozenset(ROLES)
+_F, _R, _N = frozenset(FUNCTION_WORDS), frozenset(ROLES), frozenset(NAME_WORDS)
 
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\s]", re.UNICODE)
 MARKS = "̀-ͯ"
@@ -213,8 +215,6 @@ def _names(text: str, field: str, longest: int = 8):
             for k in range(i, min(len(units), i + longest)):
                 if small[k] in _P and words[k][0].islower():
                     continue
-                if all(w in _F or w in _P for w in small[i : k + 1]):
-                    continue
                 b = units[k][1]
                 dotted = words[k].endswith(".")
                 if dotted and len(small[k]) > 1:
@@ -241,8 +241,10 @@ def _names(text: str, field: str, longest: int = 8):
                     features.append("organisation")
                 if any(w in _T for w in low):
                     features.append("title")
-                if any(w in _F for w in low if len(w) > 1):
+                if any(w in _F and w not in _N for w in low if len(w) > 1):
                     features.append("function_word")
+                if any(w in _N and not x[0].islower() for w, x in zip(low, inner)):
+                    features.append("name_word_alone" if k == i else "name_words" if all(w in _N or len(w) == 1 for w in low) else "name_word")
                 if all(w.isupper() for w in inner if len(w) > 1):
                     features.append("capitals")
                 if len(low[-1]) == 1:

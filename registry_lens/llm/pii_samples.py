@@ -9,6 +9,8 @@ from __future__ import annotations
 import random
 import re
 
+from registry_lens.llm.pii_model import NAME_WORDS
+
 _ONSET = "b br c d dr f fl g gr h j k kl l m n p pr qu r s sk st t th tr v w z".split()
 _VOWEL = "a e i o u ae ei ou é ö ü á ø".split()
 _CODA = "l n r s m rt nd lk st x ck".split()
@@ -32,10 +34,14 @@ class Generator:
         return self.syllables(self.r.choice((1, 2, 2, 3))).capitalize()
 
     def given(self) -> str:
+        if self.r.random() < 0.04:
+            return self.r.choice(NAME_WORDS).capitalize()
         first = self.word()
         return f"{first}-{self.word()}" if self.r.random() < 0.12 else first
 
     def family(self) -> str:
+        if self.r.random() < 0.04:
+            return self.r.choice(NAME_WORDS).capitalize()
         name = self.word()
         if self.r.random() < 0.15:
             name = f"{name}-{self.word()}"
@@ -46,7 +52,7 @@ class Generator:
     def name(self) -> str:
         r, form = self.r, self.r.random()
         if form < 0.55:
-            out = f"{self.given()} {self.family()}"
+            out = f"{self.given()} {self.family()}" if r.random() < 0.95 else " ".join(w.capitalize() for w in r.sample(NAME_WORDS, 2))
         elif form < 0.68:
             out = f"{self.word()} {self.word()[0]}. {self.family()}"
         elif form < 0.8:

@@ -276,6 +276,15 @@ def test_percent_encoded_emails(text, want):
         assert json.loads(pii.replace(raw, found))["urls"] == [text.replace(want[0], "[EMAIL]") if want else text]
 
 
+@pytest.mark.parametrize("name", ["An Le", "Ping An", "A. Du"])
+def test_names_of_function_words(name):
+    model = pii.trained()
+    for field, text in (("name", name), ("details", f"Reported privately by {name}."), ("details", f"Thanks to {name} for the analysis.")):
+        assert [(k, text[a:b]) for a, b, k in pii.find_in_text(model, text, field)] == [("name", name)]
+    for text, want in (("Ping Ana Prewitt or write to ana.p@example.com.", ["Ana Prewitt", "ana.p@example.com"]), ("The Report of an Author. It Is Not New. My Package", [])):
+        assert [text[a:b] for a, b, _ in pii.find_in_text(model, text, "details")] == want
+
+
 def test_personal_items_in_spark(spark):
     raw = json.dumps({"id": "X-1", "details": "Line\nJürgen Prewitt found a backdoor in pkg-x 1.2.3", "credits": [{"name": "Zoë Lund", "contact": ["mailto:z.lund@example.com", "02.99.00.28.86"]}, {"name": "Larch Labs"}], "email": "support@example.com"})
     rows = [("a", "Ana Prewitt found a backdoor in pkg-y 2.0.0", raw, "clash"), ("b", None, None, None), ("c", "", "", ""), ("d", "x" * 60000, "{broken Ana Prewitt", None), (None, "Contact ana.p@example.com for the write-up.", None, None)]
