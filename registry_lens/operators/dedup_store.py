@@ -3,8 +3,10 @@
 Every batch becomes one *run*: a table of the identifier's hash buckets, one file per
 bucket, sorted by identifier, with equal identifiers of the batch already collapsed. A run
 is named by its batch, so delivering the batch again overwrites the run instead of adding
-to it. Compaction merges the runs bucket by bucket: all of them share one bucketing, so the
-merge needs no shuffle, and equal identifiers, which lie side by side, collapse to one row.
+to it. Compaction aggregates the runs bucket by bucket: all of them share one bucketing, so
+it needs no shuffle, and equal identifiers collapse to one row. It is no merge of sorted
+files: Spark knows no order of a bucket of several files, so a task sorts or hashes its
+bucket's rows anew, and the order in which they are stored is not used.
 A manifest, replaced by a rename, names the live runs and the batches already compacted;
 those are refused when they come again.
 """
