@@ -28,6 +28,8 @@ OPEN_O, CLOSE_O, OPEN_A, CLOSE_A = b"{}[]"
 BLANK = np.isin(np.arange(256), list(b" \t\n\r"))
 #: Bytes indexed at a time; a batch is cut into such blocks between records.
 BLOCK = 2 << 20
+#: Levels the strict parser is given at a time where a text is too deep for it.
+LEVELS = 1000
 
 
 class StructuralIndex:
@@ -169,6 +171,38 @@ def strict(text: bytes):
         return None
 
 
+def valid(text: bytes) -> bool:
+    """Whether a text is JSON, of whatever depth."""
+    try:
+        json.loads(text, parse_constant=_no_constant)
+        return True
+    except ValueError:
+        return False
+    except RecursionError:
+        return _valid_in_slices(text)
+
+
+def _valid_in_slices(text: bytes) -> bool:
+    """Each value that lies ``LEVELS`` deep, or a multiple of it, is parsed by itself; around it, a null stands for it."""
+    index = StructuralIndex(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))
+    if not index.closed[0] or (index.mark_depth < 0).any():
+        return False
+    bracket = index.mark_open | (index.mark == CLOSE_O) | (index.mark == CLOSE_A)
+    cuts = np.flatnonzero(bracket & (index.mark_depth > 0) & (index.mark_depth % LEVELS == 0))
+    around: list[list[bytes]] = [[]]
+    at = 0
+    for cut, opens in zip(index.mark_at[cuts].tolist(), index.mark_open[cuts].tolist()):
+        if opens:
+            around[-1] += [text[at:cut], b"null"]
+            around.append([])
+            at = cut
+        else:
+            at, a = cut + 1, at
+            if not valid(b"".join([*around.pop(), text[a:at]])):
+                return False
+    return valid(b"".join([*around.pop(), text[at:]]))
+
+
 def _names(index: StructuralIndex, colon: int, depth: int, span: bytes) -> list[str]:
     """Distinct names in the value ``span`` after a colon of that depth: a string, strings and ``version`` fields of a list, keys of an object."""
     names: list = []
@@ -213,7 +247,7 @@ def _block_rows(data: np.ndarray, offsets: np.ndarray, ids: list) -> list[tuple]
 
     out = []
     for k in range(rows):
-        usable = bool(starts_object[k]) and isinstance(strict(index.text(int(offsets[k]), int(offsets[k + 1]))), dict)
+        usable = bool(starts_object[k]) and valid(index.text(int(offsets[k]), int(offsets[k + 1])))
         name = string(name_texts[k]) if usable else None
         by_name = (string(by_texts[k]) if usable else None) or ""
         found = _names(index, int(versions[k]), 3, listed[k]) if usable and listed[k] else []
@@ -236,7 +270,7 @@ def flatten_documents(documents: DataFrame, rec_id: str = "rec_id", raw: str = "
 
     Columns: rec_id, usable (raw is a valid JSON object), name, by_name ('' if there is none),
     n_versions, version. Null, empty, cut-off and non-object texts give one row with usable
-    false; repeated rows collapse; further columns are ignored.
+    false; nesting may be of any depth; repeated rows collapse; further columns are ignored.
     """
     picked = spread(documents.select(F.col(rec_id).cast("long").alias("rec_id"), F.col(raw).alias("raw")))
     rows = picked.mapInArrow(

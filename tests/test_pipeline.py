@@ -250,6 +250,21 @@ def test_nested_property(items):
         assert {(r[5], r[3]) for r in rows if r[0] == k and r[5] is not None} == _naive_versions(raw)
 
 
+def test_nested_beyond_the_parsers_depth():
+    def document(depth, inner="", tail=""):
+        return '{"x":' + '[{"y":' * (depth // 2) + f'[1, "]{{", null{inner}]' + "}]" * (depth // 2) + tail + ',"time":{"unpublished":{"name":"n","versions":["1","2"]}}}'
+
+    good = [document(depth) for depth in (998, 1000, 9000, 20_000, 100_001)]
+    bad = [document(20_000, ","), document(20_000, " 1"), document(20_000, ", NaN"), document(20_000, tail="1"), document(20_000)[:-1], document(20_000).replace("}]}]", "}]1}]", 1), document(20_000).replace("}]", "]]", 1), document(20_000) + "}{"]
+    raws = [x.encode() for x in good + bad]
+    offsets = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
+    rows = nested._block_rows(np.frombuffer(b"".join(raws), dtype=np.uint8), offsets, list(range(len(raws))))
+    for k in range(len(raws)):
+        assert [r[1:] for r in rows if r[0] == k] == ([(True, None, "n", 2, None), (True, None, "n", 2, "1"), (True, None, "n", 2, "2")] if k < len(good) else [(False, None, "", 0, None)])
+    at_cut = "[" * 1000 + "{}%s[]" + "]" * 1000
+    assert nested._valid_in_slices((at_cut % ",").encode()) and not any(nested._valid_in_slices((at_cut % x).encode()) for x in ("", "1", ",1", ":"))
+
+
 OBS = "name string, run_id string, rev string, batch_id int, delivered_at timestamp, copies long, body string, extra map<string,string>"
 
 
