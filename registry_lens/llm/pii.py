@@ -1,9 +1,9 @@
 """Personal information in free text and in JSON records: found, and replaced by typed placeholders.
 
 The model is a semi-Markov conditional random field (``pii_model``), trained on the driver
-from a fixed number of generated sentences (``SAMPLES``); its few thousand weights are
-broadcast. Texts are handled one by one where they lie, so nothing is shuffled but the
-found items, and those only to make them distinct.
+from a fixed number of generated sentences (``SAMPLES``); its few hundred weights are
+broadcast. The texts of an Arrow batch are laid out in pages, whose candidates are scored
+together; nothing is shuffled but the found items, and those only to make them distinct.
 """
 
 from __future__ import annotations
@@ -14,97 +14,150 @@ import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registry_lens.llm.pii_model import SemiCRF, propose
+from registry_lens.llm.pii_model import KINDS, Page, SemiCRF, propose
 from registry_lens.llm.pii_samples import samples
 from registry_lens.session import spread
 
-#: Sentences the model is trained on.
-SAMPLES = 1500
+#: Sentences the model is trained on, and how often it sees them.
+SAMPLES, ROUNDS = 6000, 10
+#: Characters of a page; a longer text has a page of its own.
+PAGE = 400_000
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
-STRING = re.compile(r'"((?:[^"\\]|\\.)*)"(\s*:)?', re.DOTALL)
+STRING = re.compile(r'"([^"\\]*(?:\\.[^"\\]*)*)"(\s*:)?', re.DOTALL)
 ESCAPE = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\.", re.DOTALL)
-KNOWN_FIELDS = ("name", "contact", "summary", "details", "notes")
+#: Keys whose values are names or contacts as a whole (see ``Page``); all other values are prose.
+FIELDS = {k: 1 for k in ("name", "author", "maintainer", "owner", "reporter", "full_name", "fullName")} | {k: 2 for k in ("contact", "contacts", "email", "mail", "phone", "tel")}
 #: What a text must have for any gate to propose something: an at sign, written out, percent-encoded or not, an upper-case letter, or five digits.
-WORTH_A_LOOK = re.compile(r"@|%40|\bat\b|[^\W\d_a-z]|(?:\d\D*){5}", re.UNICODE)
+WORTH_A_LOOK = re.compile(r"@|%40|\b(?:at|AT)\b|[^\W\d_a-z]|(?:\d\D*){5}", re.UNICODE)
 #: Longest text whose items a worker remembers; short ones recur (versions, ecosystems, names of organisations).
 SHORT = 80
+#: Short texts a worker remembers before it starts anew.
+REMEMBERED = 100_000
+
+Items = list[tuple[int, int, str]]
 
 
 @lru_cache(maxsize=2)
-def trained(count: int = SAMPLES, rounds: int = 6) -> SemiCRF:
+def trained(count: int = SAMPLES, rounds: int = ROUNDS) -> SemiCRF:
     """The model; training takes some seconds and is done once per process."""
     model = SemiCRF()
-    model.train([(propose(text, field), gold) for field, text, gold in samples(count)], rounds=rounds)
-    model.weights = {k: w for k, w in model.weights.items() if abs(w) > 1e-3}
+    model.train(samples(count), rounds=rounds)
     return model
 
 
-def find_in_text(model: SemiCRF, text: str, field: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the personal items of a text, in order and without overlap.
+def find_in_texts(model: SemiCRF, texts: list[str], fields: list[int]) -> list[Items]:
+    """(start, end, kind) of the personal items of each text, in order and without overlap.
 
     An address of a role, a service or a code host can be told from the address itself, so
-    the model sees it as a segment of its own and rejects it.
+    the model sees it as a segment of its own and rejects it. Equal texts are read once.
     """
-    if not text or not WORTH_A_LOOK.search(text):
-        return []
-    if len(text) > SHORT:
-        return [(c.start, c.end, c.kind) for c in model.best(propose(text, field))]
     memory = model.__dict__.setdefault("memory", {})
-    if (text, field) not in memory:
-        if len(memory) > 100_000:
-            memory.clear()
-        memory[text, field] = [(c.start, c.end, c.kind) for c in model.best(propose(text, field))]
-    return memory[text, field]
-
-
-def decode(body: str) -> tuple[str, Callable[[int], int]]:
-    """The text of a JSON string's body, and the function from its offsets to the body's."""
-    parts, at, size = [], 0, 0
+    if len(memory) > REMEMBERED:
+        memory.clear()
+    known: dict[tuple[str, int], Items] = {}
+    fresh: list[tuple[str, int]] = []
+    for key in zip(texts, fields):
+        if key not in known:
+            if key in memory:
+                known[key] = memory[key]
+            else:
+                known[key] = []
+                if WORTH_A_LOOK.search(key[0]):
+                    fresh.append(key)
+                elif len(key[0]) <= SHORT:
+                    memory[key] = known[key]
+    at = 0
+    while at < len(fresh):
+        stop, size = at, 0
+        while stop < len(fresh) and (stop == at or size + len(fresh[stop][0]) <= PAGE):
+            size += len(fresh[stop][0])
+            stop += 1
+        part = fresh[at:stop]
+        page = Page([t for t, _ in part], [f for _, f in part])
+        found = model.best(propose(page))
+        owner = (np.searchsorted(page.begins, [a for a, _, _ in found], side="right") - 1).tolist()
+        for (a, b, kind), k in zip(found, owner):
+            begin = int(page.begins[k])
+            known[part[k]].append((a - begin, b - begin, KINDS[kind]))
+        for key in part:
+            if len(key[0]) <= SHORT:
+                memory[key] = known[key]
+        at = stop
+    return [known[key] for key in zip(texts, fields)]
+
+
+def find_in_text(model: SemiCRF, text: str, field: int = 0) -> Items:
+    """The items of one text."""
+    return find_in_texts(model, [text], [field])[0]
+
+
+def escape_map(body: str) -> Callable[[int], int]:
+    """The function from offsets in a JSON string's text to those in its body as it is written."""
+    size = at = 0
     decoded, raw = [0], [0]  # where a stretch without escapes begins, in both
     for e in ESCAPE.finditer(body):
-        char = json.loads(f'"{e.group()}"', strict=False)
-        parts += [body[at : e.start()], char]
         size += e.start() - at
-        decoded += [size, size + len(char)]
+        char = 1  # an escape is one character, also a pair of surrogates
+        decoded += [size, size + char]
         raw += [e.start(), e.end()]
-        size, at = size + len(char), e.end()
-    parts.append(body[at:])
+        size, at = size + char, e.end()
 
     def back(offset: int) -> int:
         k = bisect.bisect_right(decoded, offset) - 1
         return raw[k] + offset - decoded[k]
 
-    return "".join(parts), back
+    return back
 
 
-def find_in_json(model: SemiCRF, raw: str) -> list[tuple[int, int, str]]:
-    """The items of a JSON text's string values, as offsets into the text as it is written.
+def json_strings(raw: str) -> list[tuple[str, int, int, str | None]]:
+    """The string values of a JSON text: (text, field, where it begins in ``raw``, its body if that has escapes).
 
-    A text that is no JSON is read as plain text.
+    A text that is no JSON is one value, read as plain text.
     """
     try:
         json.loads(raw)
     except (ValueError, RecursionError):
-        return find_in_text(model, raw, "other")
-    out, field = [], "other"
+        return [(raw, 0, 0, None)]
+    out, field = [], 0
     for m in STRING.finditer(raw):
-        if m.group(2) is not None:  # a key names the field of what follows
-            field = m.group(1) if m.group(1) in KNOWN_FIELDS else "other"
-            continue
-        body, base = m.group(1), m.start(1)
-        if "\\" not in body:
-            out.extend((base + a, base + b, kind) for a, b, kind in find_in_text(model, body, field))
-            continue
-        text, back = decode(body)
-        out.extend((base + back(a), base + back(b), kind) for a, b, kind in find_in_text(model, text, field))
+        body = m[1]
+        if m.lastindex == 2:  # a key names the field of what follows
+            field = FIELDS.get(body, 0)
+        elif "\\" in body:
+            out.append((json.loads(f'"{body}"', strict=False), field, m.start(1), body))
+        elif body:
+            out.append((body, field, m.start(1), None))
+    return out
+
+
+def find_in_values(model: SemiCRF, values: list[str | None], as_json: bool) -> list[Items]:
+    """The items of each value, as offsets into it as it is written; null and empty values have none."""
+    strings: list[tuple[str, int, int, str | None]] = []
+    owner: list[int] = []
+    for k, value in enumerate(values):
+        if value:
+            found = json_strings(value) if as_json else [(value, 0, 0, None)]
+            strings += found
+            owner += [k] * len(found)
+    out: list[Items] = [[] for _ in values]
+    for k, (_, _, base, body), items in zip(owner, strings, find_in_texts(model, [x[0] for x in strings], [x[1] for x in strings])):
+        if items:
+            back = escape_map(body) if body is not None else int
+            out[k] += [(base + back(a), base + back(b), kind) for a, b, kind in items]
     return out
 
 
-def replace(text: str, items: list[tuple[int, int, str]]) -> str:
+def find_in_json(model: SemiCRF, raw: str) -> Items:
+    """The items of one JSON text."""
+    return find_in_values(model, [raw], True)[0]
+
+
+def replace(text: str, items: Items) -> str:
     """The text with each item replaced; all else stays as it is."""
     parts, at = [], 0
     for a, b, kind in items:
@@ -127,18 +180,10 @@ def _worker_model(shared) -> SemiCRF:
     key = id(shared.value)
     if key not in _MODELS:
         _MODELS.clear()
-        model = SemiCRF()
-        model.weights = shared.value
-        _MODELS[key] = model
+        _MODELS[key] = SemiCRF(shared.value)
     return _MODELS[key]
 
 
-def _items(model: SemiCRF, value: str | None, as_json: bool) -> list[tuple[int, int, str]]:
-    if not value:
-        return []
-    return find_in_json(model, value) if as_json else find_in_text(model, value, "summary")
-
-
 def find_personal(records: DataFrame, key: str = "id", plain: tuple[str, ...] = ("summary",), structured: tuple[str, ...] = ("raw",)) -> DataFrame:
     """(id, field, kind, value): each distinct personal item of the given columns, as the column writes it.
 
@@ -155,8 +200,9 @@ def find_personal(records: DataFrame, key: str = "id", plain: tuple[str, ...] =
             rows = set()
             ids = batch.column(0).to_pylist()
             for n, (name, as_json) in enumerate(fields):
-                for k, value in zip(ids, batch.column(n + 1).to_pylist()):
-                    rows.update((k, name, kind, value[a:b]) for a, b, kind in _items(model, value, as_json))
+                values = batch.column(n + 1).to_pylist()
+                for k, value, items in zip(ids, values, find_in_values(model, values, as_json)):
+                    rows.update((k, name, kind, value[a:b]) for a, b, kind in items)
             columns = list(zip(*sorted(rows, key=str))) or [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.string()) for c in columns], schema=FOUND)
 
@@ -175,7 +221,9 @@ def redact(records: DataFrame, key: str = "id", plain: tuple[str, ...] = ("summa
         for batch in batches:
             out = [batch.column(0)]
             for n, (_, as_json) in enumerate(fields):
-                out.append(pa.array([v if v is None else replace(v, _items(model, v, as_json)) for v in batch.column(n + 1).to_pylist()], type=pa.string()))
+                values = batch.column(n + 1).to_pylist()
+                items = find_in_values(model, values, as_json)
+                out.append(pa.array([v if v is None else replace(v, x) for v, x in zip(values, items)], type=pa.string()))
             yield pa.RecordBatch.from_arrays(out, schema=schema)
 
     picked = spread(records.select(F.col(key).cast("string").alias(key), *(F.col(c) for c, _ in fields)))

@@ -7,15 +7,20 @@ import itertools
 import json
 import os
 import random
+import re
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from registry_lens.functions.arrow_text import utf8_buffer
-from registry_lens.llm import bpe, packing, pii, splitting
-from registry_lens.llm.pii_model import Candidate, SemiCRF, propose
-from registry_lens.llm.pii_samples import samples
+from registry_lens.llm import bpe, packing, pii, pii_model, splitting
+from registry_lens.llm.pii_samples import CONTACTS, NAME_FIELDS, TEXTS, samples
+
+sys.path.insert(0, os.path.dirname(__file__))
+from second_grammar import SENTENCES as SECOND  # noqa: E402
+from second_grammar import labelled  # noqa: E402
 
 RANKS = os.path.join(bpe.tokenizer_folder(), "byte_bpe_50k.tiktoken")
 pytestmark = pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary files")
@@ -216,26 +221,57 @@ def test_splitting_in_spark(spark, encoder):
 def test_semi_crf_recursions_against_enumeration():
     r = random.Random(8)
     for _ in range(30):
-        spans = {tuple(sorted(r.sample(range(12), 2))) for _ in range(6)}
-        cands = [Candidate(k, a, b, [f"f{r.randint(0, 3)}"]) for a, b in spans for k in ("name", "phone")]
-        model = SemiCRF({(k, f"f{n}"): r.uniform(-1, 2) for k in ("name", "phone") for n in range(4)})
-        legal = [s for n in range(len(cands) + 1) for s in itertools.combinations(cands, n) if all(x.end <= y.start or y.end <= x.start for x, y in itertools.combinations(s, 2))]
-        weight = [np.exp(sum(map(model.score, s))) for s in legal]
-        best = max(sum(map(model.score, s)) for s in legal)
-        assert sum(map(model.score, model.best(cands))) == pytest.approx(best)
-        probability, total = model.expectations(cands)
+        spans = sorted({tuple(sorted(r.sample(range(12), 2))) for _ in range(6)})
+        start, end, kind = (np.array(x) for x in zip(*((a, b, k) for a, b in spans for k in (1, 4))))
+        score = np.array([r.uniform(-1, 2) for _ in start])
+        legal = [s for n in range(len(start) + 1) for s in itertools.combinations(range(len(start)), n) if all(end[x] <= start[y] or end[y] <= start[x] for x, y in itertools.combinations(s, 2))]
+        of = lambda s: float(score[list(s)].sum())
+        chosen = {(a, b, k) for a, b, k in pii_model.best_segments(start, end, kind, score)}
+        assert sum(score[k] for k in range(len(start)) if (start[k], end[k], kind[k]) in chosen) == pytest.approx(max(map(of, legal)))
+        probability, total = pii_model.expectations(start, end, score)
+        weight = [np.exp(of(s)) for s in legal]
         assert total == pytest.approx(np.log(sum(weight)))
-        for c, p in zip(cands, probability):
-            assert p == pytest.approx(sum(w for s, w in zip(legal, weight) if c in s) / sum(weight))
+        for k, p in enumerate(probability):
+            assert p == pytest.approx(sum(w for s, w in zip(legal, weight) if k in s) / sum(weight))
 
 
-def test_held_out_accuracy():
-    model = pii.trained()
-    hit = wrong = missed = 0
-    for field, text, gold in samples(400, seed=4711):
-        got = {(k, a, b) for a, b, k in pii.find_in_text(model, text, field)}
-        hit, wrong, missed = hit + len(got & gold), wrong + len(got - gold), missed + len(gold - got)
-    assert hit / (hit + wrong) > 0.97 and hit / (hit + missed) > 0.97
+def rates(model, cases):
+    """{kind: (precision, recall)} of (text, field, labelled spans)."""
+    hit, wrong, missed = ({k: 0 for k in pii.KINDS} for _ in range(3))
+    for (_, _, gold), items in zip(cases, pii.find_in_texts(model, [t for t, _, _ in cases], [f for _, f, _ in cases])):
+        got = {(k, a, b) for a, b, k in items}
+        for counts, found in ((hit, got & gold), (wrong, got - gold), (missed, gold - got)):
+            for k, _, _ in found:
+                counts[k] += 1
+    return {k: (hit[k] / max(1, hit[k] + wrong[k]), hit[k] / max(1, hit[k] + missed[k])) for k in pii.KINDS}
+
+
+def test_accuracy_on_fresh_sentences_of_the_grammar():
+    for kind, (precision, recall) in rates(pii.trained(), samples(800, seed=4711)).items():
+        assert precision > 0.93 and recall > 0.93, kind
+
+
+def test_accuracy_on_a_second_grammar():
+    """Sentences, names and formats that the training grammar has not: what to expect of text it was not written for."""
+    for kind, (precision, recall) in rates(pii.trained(), [(t, 0, g) for t, g in labelled(800, 20)]).items():
+        assert precision > 0.95 and recall > 0.95, kind
+
+
+def test_no_sentence_is_taken_from_the_tables(smallest):
+    """No template of either grammar has five words in a row with the advisories' texts."""
+    import pyarrow.parquet as pq
+
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    runs = lambda t: {tuple(w[k : k + 5]) for w in [words(t)] for k in range(len(w) - 4)}
+    theirs = set()
+    for sf in ("sf0.001", "sf0.01"):
+        table = pq.read_table(os.path.join(os.path.dirname(smallest), sf, "osv_records.parquet"), columns=["summary", "raw"]).to_pydict()
+        for text in {t for column in table.values() for t in column if t}:
+            for part in re.split(r"\\[nrt]|[\"{}\[\]]", text):
+                theirs |= runs(part)
+    for template in (*TEXTS, *NAME_FIELDS, *CONTACTS, *SECOND):
+        for stretch in re.split(r"\{\w+\}", template):
+            assert not runs(stretch) & theirs, template
 
 
 SENTENCES = [
@@ -252,7 +288,7 @@ SENTENCES = [
 def test_sentences():
     model = pii.trained()
     for text, want in SENTENCES:
-        assert {(k, text[a:b]) for a, b, k in pii.find_in_text(model, text, "details")} == want
+        assert {(k, text[a:b]) for a, b, k in pii.find_in_text(model, text)} == want
 
 
 ENCODED = [
@@ -267,7 +303,7 @@ ENCODED = [
 @pytest.mark.parametrize("text,want", ENCODED)
 def test_percent_encoded_emails(text, want):
     model = pii.trained()
-    for field in ("details", "other"):
+    for field in (0, 2):
         items = pii.find_in_text(model, text, field)
         assert [(k, text[a:b]) for a, b, k in items] == [("email", w) for w in want]
         raw = json.dumps({"urls": [text]})
@@ -279,10 +315,10 @@ def test_percent_encoded_emails(text, want):
 @pytest.mark.parametrize("name", ["An Le", "Ping An", "A. Du"])
 def test_names_of_function_words(name):
     model = pii.trained()
-    for field, text in (("name", name), ("details", f"Reported privately by {name}."), ("details", f"Thanks to {name} for the analysis.")):
+    for field, text in ((1, name), (0, f"Reported privately by {name}."), (0, f"Thanks to {name} for the analysis.")):
         assert [(k, text[a:b]) for a, b, k in pii.find_in_text(model, text, field)] == [("name", name)]
     for text, want in (("Ping Ana Prewitt or write to ana.p@example.com.", ["Ana Prewitt", "ana.p@example.com"]), ("The Report of an Author. It Is Not New. My Package", [])):
-        assert [text[a:b] for a, b, _ in pii.find_in_text(model, text, "details")] == want
+        assert [text[a:b] for a, b, _ in pii.find_in_text(model, text)] == want
 
 
 def test_personal_items_in_spark(spark):
@@ -301,9 +337,29 @@ def test_personal_items_in_spark(spark):
     assert pii.find_personal(df.limit(0)).collect() == []
 
 
+EDGES = ["", " ", "\x00", "a\x00Ana Prewitt\x00b", "\ud800 Ana Prewitt", "@", "at", "%40", "+", "(", "J.", "O'", "-", "\n\n", "A" * 5000, "1" * 5000, "A B " * 3000, "1 2 " * 3000, "Street 1 " * 500, "字" * 3000, "é" * 3000, "@ " * 3000, "(" * 3000]
+
+
+@pytest.mark.parametrize("text", EDGES)
+def test_odd_texts(text):
+    """Signs, long runs and broken characters: nothing fails, and spans lie within the text."""
+    for a, b, _ in pii.find_in_text(pii.trained(), text):
+        assert 0 <= a < b <= len(text) and "\x00" not in text[a:b]
+    assert pii.json_strings(json.dumps({"k": text, "l": [text]}))[-1][0] == text if text else True
+
+
+def test_pages_do_not_touch_results(monkeypatch):
+    texts = [t for t, _, _ in samples(300, seed=6)]
+    model = pii_model.SemiCRF(pii.trained().weights)
+    whole = pii.find_in_texts(model, texts, [0] * len(texts))
+    monkeypatch.setattr(pii, "PAGE", 300)
+    assert pii.find_in_texts(pii_model.SemiCRF(model.weights), texts, [0] * len(texts)) == whole
+    assert [pii.find_in_text(pii_model.SemiCRF(model.weights), t) for t in texts[:60]] == whole[:60]
+
+
 def test_replacement_changes_nothing_else():
     model = pii.trained()
-    for field, text, _ in samples(200, seed=5):
+    for text, field, _ in samples(200, seed=5):
         items = pii.find_in_text(model, text, field)
         out, at = pii.replace(text, items), 0
         for a, b, kind in items:
