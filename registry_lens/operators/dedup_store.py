@@ -1,134 +1,272 @@
 """At-least-once messages: idempotent upsert into hash-bucketed sorted storage.
 
-Every batch becomes one *run*: a table of the identifier's hash buckets, one file per
-bucket, sorted by identifier, with equal identifiers of the batch already collapsed. A run
-is named by its batch, so delivering the batch again overwrites the run instead of adding
-to it. Compaction aggregates the runs bucket by bucket: all of them share one bucketing, so
-it needs no shuffle, and equal identifiers collapse to one row. It is no merge of sorted
-files: Spark knows no order of a bucket of several files, so a task sorts or hashes its
-bucket's rows anew, and the order in which they are stored is not used.
-A manifest, replaced by a rename, names the live runs and the batches already compacted;
-those are refused when they come again.
+An upsert writes *sorted runs*: of every hash bucket of the identifier one file, sorted by
+a 64-bit hash of the identifier, in which equal identifiers are collapsed already. The
+manifest, replaced by a rename, names the runs and every delivered batch they hold, so a
+batch that comes again, before or after a compaction, is skipped as a whole. Compaction
+merges the sorted files of a bucket in one streaming pass: a task opens all of them, keeps
+a stretch of each in memory, merges what lies below the least of their last hashes, and
+collapses equal identifiers, which lie side by side. The merged base keeps the same order
+and is one of the sorted inputs of the next compaction; nothing is sorted or shuffled.
+
+Layout below the store's path::
+
+    runs/ID/run=G/bucket=B/    sorted files of one upsert
+    base/ID/part-B-...         the merged base, one sorted file per bucket
+    manifest/V.json            live runs and base, batches, buckets; the newest one counts
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from registry_lens.functions.storage import data_files, row_batches
+from registry_lens.session import buckets_for, list_names, read_text, remove, write_text_once
 
-from registry_lens.session import buckets_for, list_names, read_text, write_text_once
+#: Rows aimed at for a bucket; a compaction splits the buckets when they have grown beyond twice that.
+BUCKET_ROWS = 2_000_000
+#: Rows of each sorted file that a merging task reads at a time.
+STRETCH = 32_768
+#: Runs written by one upsert of many batches.
+GROUPS = 4
+LATEST = 2**63 - 1
 
 
-def orderable(kind: T.DataType) -> bool:
-    """Whether Spark can compare values of the type."""
+def hashable(kind: T.DataType) -> bool:
+    """Whether Spark can hash values of the type."""
     if isinstance(kind, T.ArrayType):
-        return orderable(kind.elementType)
+        return hashable(kind.elementType)
     if isinstance(kind, T.StructType):
-        return all(orderable(f.dataType) for f in kind.fields)
-    return not isinstance(kind, (T.MapType, T.VariantType))
+        return all(hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.NullType))
 
 
-class MessageStore:
-    """Runs of one message table. Columns: the identifier, ``copies``, ``body``, and the run as partition.
+# merging
 
-    A generation is one table, partitioned by run and bucketed by identifier: a scan hands all
-    runs' files of a bucket to one task. Compaction writes the next generation.
-    """
 
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str], buckets: int | None = None):
-        self.spark, self.path, self.key, self.order = spark, path.rstrip("/"), list(key), list(order)
-        self.tag = f"rl_{uuid.uuid4().hex[:10]}"
+def merge_order(runs: list[np.ndarray]) -> np.ndarray:
+    """Places in the concatenation of sorted arrays, in merged order; equal values keep the order of the arrays."""
+    starts = np.cumsum([0, *map(len, runs)])
+    parts = [(r, np.arange(a, a + len(r))) for r, a in zip(runs, starts.tolist())]
+    while len(parts) > 1:
+        merged = []
+        for (x, at_x), (y, at_y) in zip(parts[::2], parts[1::2]):
+            to_x = np.arange(len(x)) + np.searchsorted(y, x, side="left")
+            to_y = np.arange(len(y)) + np.searchsorted(x, y, side="right")
+            values, at = np.empty(len(x) + len(y), dtype=x.dtype), np.empty(len(x) + len(y), dtype=np.int64)
+            values[to_x], values[to_y] = x, y
+            at[to_x], at[to_y] = at_x, at_y
+            merged.append((values, at))
+        parts = merged + parts[len(merged) * 2 :]
+    return parts[0][1] if parts else np.zeros(0, dtype=np.int64)
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table[name].to_numpy()
+
+
+def collapse_sorted(table: pa.Table, key: Sequence[str]) -> pa.Table:
+    """A table sorted by ``__h`` with each identifier once: copies summed, of the other columns those of the first delivery."""
+    n = table.num_rows
+    if n < 2:
+        return table
+    h = _numbers(table, "__h")
+    same_hash = h[1:] == h[:-1]
+    if not same_hash.any():
+        return table
+    equal = same_hash.copy()
+    for k in key:
+        column = table[k].combine_chunks()
+        a, b = column[1:], column[:-1]
+        both = pc.fill_null(pc.equal(a, b), False)
+        equal &= pc.or_(both, pc.and_(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+    if (same_hash & ~equal).any():  # different identifiers of one hash may lie mixed: order these rows by identifier
+        clash = np.isin(h, h[1:][same_hash & ~equal])
+        at = np.flatnonzero(clash)
+        order = pc.sort_indices(table.take(at), sort_keys=[("__h", "ascending"), *((k, "ascending") for k in key)]).to_numpy()
+        places = np.arange(n)
+        places[at] = at[order]
+        return _collapse(table.take(places), key)
+    return _collapse(table, key, equal)
+
+
+def _collapse(table: pa.Table, key: Sequence[str], equal: np.ndarray | None = None) -> pa.Table:
+    n = table.num_rows
+    if equal is None:
+        columns = [table[k].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for k in key]
+        equal = np.logical_and.reduce([c[1:] == c[:-1] for c in (*columns, _numbers(table, "__h"))])
+    first = np.flatnonzero(np.append(True, ~equal))
+    group = np.cumsum(np.append(True, ~equal)) - 1
+    copies = np.add.reduceat(_numbers(table, "copies"), first)
+    # of each group the row of the least (__at, __tie); groups of one row, nearly all, are done
+    order = np.lexsort((_numbers(table, "__tie"), _numbers(table, "__at"), group)) if len(first) < n else np.arange(n)
+    out = table.take(order[first])
+    place = out.schema.get_field_index("copies")
+    return out.set_column(place, out.schema.field(place), pa.array(copies))
+
+
+def merge_files(files: list[str], key: Sequence[str], schema: pa.Schema, stretch: int = STRETCH) -> Iterator[pa.Table]:
+    """The rows of sorted files in one order, each identifier once; a stretch of each file is in memory at a time."""
+    readers = [row_batches(f, stretch) for f in files]
+    ahead: list[pa.Table | None] = [None] * len(readers)
+
+    def fill(k: int) -> None:
+        nxt = next(readers[k], None)
+        while nxt is not None and not nxt.num_rows:
+            nxt = next(readers[k], None)
+        if nxt is None:
+            done[k] = True
+        else:
+            nxt = nxt.select(schema.names).cast(schema)
+            ahead[k] = nxt if ahead[k] is None else pa.concat_tables([ahead[k], nxt])
+
+    done = [False] * len(readers)
+    for k in range(len(readers)):
+        fill(k)
+    while any(t is not None for t in ahead):
+        # what lies below every open file's last hash is complete
+        limits = [t["__h"][-1].as_py() for t, d in zip(ahead, done) if t is not None and not d]
+        limit = min(limits) if limits else None
+        parts, hashes = [], []
+        for k, t in enumerate(ahead):
+            if t is None:
+                continue
+            h = _numbers(t, "__h")
+            cut = len(h) if limit is None else int(np.searchsorted(h, limit, side="left"))
+            if cut:
+                parts.append(t.slice(0, cut))
+                hashes.append(h[:cut])
+                ahead[k] = t.slice(cut) if cut < len(h) else None
+        if parts:
+            whole = pa.concat_tables(parts).combine_chunks()
+            yield collapse_sorted(whole.take(merge_order(hashes)) if len(parts) > 1 else whole, key)
+        for k, t in enumerate(ahead):
+            if not done[k] and (t is None or t["__h"][-1].as_py() == limit):
+                fill(k)
+
+
+class MessageStore:
+    """Sorted runs of one message table. Columns: the identifier, ``copies`` (rows delivered), ``body`` (of the first delivery)."""
+
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int | None = None):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
         names = [n for n in list_names(spark, f"{self.path}/manifest") if n.endswith(".json")]
         seen = json.loads(read_text(spark, f"{self.path}/manifest/{names[-1]}")) if names else {}
-        self.version, self.buckets = seen.get("version", 0), seen.get("buckets") or buckets or buckets_for(spark)
-        self.generation: int = seen.get("generation", 0)
-        self.columns: str = seen.get("columns", "")
-        self.compacted: list[str] = seen.get("compacted", [])
+        self.version: int = seen.get("version", 0)
+        self.buckets: int | None = seen.get("buckets") or buckets
+        self.schema: str | None = seen.get("schema")
         self.runs: list[str] = seen.get("runs", [])
-        if self.columns:
-            self._create(self.generation)
-            spark.sql(f"msck repair table {self._table(self.generation)}")
-
-    def _table(self, generation: int) -> str:
-        return f"{self.tag}_gen{generation}"
-
-    def _create(self, generation: int) -> None:
-        keys = ", ".join(f"`{k}`" for k in self.key)
-        self.spark.sql(
-            f"create table if not exists {self._table(generation)} ({self.columns}, `__run` string) using parquet partitioned by (`__run`) "
-            f"clustered by ({keys}) sorted by ({keys}) into {self.buckets} buckets location '{self.path}/gen={generation}'"
-        )
-
-    def _save(self, rows: DataFrame, generation: int) -> None:
-        """Write runs (column ``__run``); what an earlier attempt left of them is replaced, other runs are not touched."""
-        self.columns = self.columns or ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "__run")
-        self._create(generation)
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")
-        try:
-            rows.write.insertInto(self._table(generation), overwrite=True)
-        finally:
-            self.spark.conf.set(mode, before)
+        self.base: str | None = seen.get("base")
+        self.rows: int = seen.get("rows", 0)
+        self.batches: set[int] = set(seen.get("batches", []))
 
     def _commit(self) -> None:
         self.version += 1
-        entry = {k: getattr(self, k) for k in ("version", "buckets", "generation", "columns", "compacted", "runs")}
+        entry = {k: getattr(self, k) for k in ("version", "buckets", "schema", "runs", "base", "rows")} | {"batches": sorted(self.batches)}
         write_text_once(self.spark, f"{self.path}/manifest/{self.version:010d}.json", json.dumps(entry))
 
-    def _first(self, rows: DataFrame) -> Column:
-        """The first delivery's body. Ties are broken by its other columns, as far as they can be compared."""
-        fields = rows.schema["body"].dataType.fields
-        if all(orderable(f.dataType) for f in fields):
-            return F.min("body")
-        return F.min_by("body", F.struct(*(F.col("body")[f.name] for f in fields if orderable(f.dataType))))
+    def upsert(self, messages: DataFrame, batch: Column, order: Column, groups: int = 1) -> int:
+        """Write the batches that the store doesn't hold yet as sorted runs; returns how many they were.
 
-    def _collapse(self, rows: DataFrame) -> DataFrame:
-        """One row per identifier: how many rows there were, and the first delivery's body."""
-        return rows.groupBy(*self.key).agg(F.sum("copies").alias("copies"), self._first(rows).alias("body"))
-
-        rest = [c for c in messages.columns if c not in {*self.key, *self.order, *more}]
-        return messages.select(*self.key, F.lit(1).cast("long").alias("copies"), F.struct(*self.order, *rest).alias("body"), *more)
+        ``batch`` is the number of a row's delivery (null is 0), ``order`` a number by which the first delivery of an identifier is told, nulls last; ties are
+        broken by a hash of the other columns. The batches are spread over ``groups`` runs.
+        The collapse combines before its one shuffle, so a message that makes up a third of
+        all rows crosses it once per task; that shuffle is the bucketing.
+        """
+        number = F.coalesce(batch.cast("long"), F.lit(0))
+        counted = {r[0]: r[1] for r in messages.groupBy(number).count().collect()}  # one row per batch
+        fresh = sorted(set(counted) - self.batches)
+        if not fresh:
+            return 0
+        if self.buckets is None:
+            least, rows = buckets_for(self.spark), sum(counted.values())
+            self.buckets = least * max(1, -(-rows // (BUCKET_ROWS * least)))
+        rest = [F.col(c) for c in messages.columns if c not in self.key]
+        hashed = [c for c in messages.columns if c not in self.key and hashable(messages.schema[c].dataType)]
+        group = F.pmod(F.xxhash64(number), F.lit(groups))
+        rows = messages if len(fresh) == len(counted) else messages.where(number.isin(fresh))
+        rows = rows.select(
+            *self.key, group.alias("__g"), F.coalesce(order.cast("long"), F.lit(LATEST)).alias("__at"), F.xxhash64(*hashed).alias("__tie") if hashed else F.lit(0).cast("long").alias("__tie"), F.struct(*rest).alias("body")
+        )
+        mine = [F.col("__g") == g for g in range(groups)]
+        row = F.struct("__at", "__tie", "body")
+        folded = rows.groupBy(*self.key).agg(
+            *(F.count_if(m).alias(f"n{g}") for g, m in enumerate(mine)), *(F.min_by(row, F.when(m, F.struct("__at", "__tie"))).alias(f"r{g}") for g, m in enumerate(mine))
+        )
+        each = F.array(*(F.struct(F.lit(g).alias("run"), F.col(f"n{g}").alias("copies"), F.col(f"r{g}").alias("r")) for g in range(groups)))
+        one = folded.select(*self.key, F.explode(F.filter(each, lambda x: x["copies"] > 0)).alias("e"))
+        stored = one.select(F.xxhash64(*self.key).alias("__h"), F.hash(*self.key).alias("__m"), *self.key, "e.copies", "e.r.__at", "e.r.__tie", "e.r.body", "e.run", F.pmod(F.hash(*self.key), F.lit(self.buckets)).alias("bucket"))
+        self.schema = stored.drop("run", "bucket").schema.json()
+        name = f"runs/{uuid.uuid4().hex}"
+        stored.sortWithinPartitions("run", "bucket", "__h", *self.key).write.partitionBy("run", "bucket").parquet(f"{self.path}/{name}")
+        self.runs += [f"{name}/run={g}" for g in range(groups)]
+        self.rows += sum(counted[b] for b in fresh)
+        self.batches |= set(fresh)
+        self._commit()
+        return len(fresh)
 
-    def upsert(self, batch: str, messages: DataFrame) -> bool:
-        """Write a batch as a sorted run; the same batch again replaces it. False when it has been compacted already.
+    def merged(self, buckets: int | None = None) -> DataFrame:
+        """All runs and the base merged, each identifier once; partition k of the result is bucket k, in order.
 
-        The collapse combines before the shuffle, so a message that makes up a third of a
-        batch crosses it once per task. That shuffle is also the bucketing when the session
-        shuffles into as many partitions as the store has buckets.
+        ``buckets``: a multiple of the store's, to split its buckets; each part then reads
+        the bucket it came from.
         """
-        if batch in self.compacted:
-            return False
-        rest = [c for c in messages.columns if c not in {*self.key, *self.order}]
-        once = self._collapse(messages.select(*self.key, F.lit(1).cast("long").alias("copies"), F.struct(*self.order, *rest).alias("body")))
-        if int(self.spark.conf.get("spark.sql.shuffle.partitions")) != self.buckets:
-            once = once.repartition(self.buckets, *self.key)
-        self._save(once.withColumn("__run", F.lit(f"run-{batch}")), self.generation)
-        if f"run-{batch}" not in self.runs:
-            self.runs.append(f"run-{batch}")
-            self._commit()
-        return True
-
-    def merged(self) -> DataFrame:
-        """All runs merged, each identifier once. Every bucket's runs are in one task already, so nothing is shuffled."""
-        if not self.columns:
+        if self.schema is None:
             raise ValueError("the store is empty")
-        rows = self.spark.table(self._table(self.generation))
-        return self._collapse(rows.where(F.col("__run").isin(self.runs)).drop("__run"))
+        now, then = self.buckets, buckets or self.buckets
+        schema = T.StructType.fromJson(json.loads(self.schema))
+        arrow, key, path, runs = to_arrow_schema(schema), self.key, self.path, self.runs
+        places: dict[int, list[str]] = {}
+        if self.base:
+            for f in data_files(f"{path}/{self.base}"):
+                places.setdefault(int(re.match(r"part-(\d+)", f.rsplit("/", 1)[1])[1]), []).append(f)
+        shared = self.spark.sparkContext.broadcast(places)  # a file name per bucket
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in batch.column(0).to_pylist():
+                    bucket = part % now
+                    files = shared.value.get(bucket, []) + [f for r in runs for f in data_files(f"{path}/{r}/bucket={bucket}")]
+                    for table in merge_files(files, key, arrow):
+                        if then != now:
+                            table = table.filter(pa.array(np.mod(_numbers(table, "__m"), then) == part))
+                        yield from table.to_batches()
+
+        return self.spark.range(0, then, 1, then).mapInArrow(run, schema)
 
     def compact(self) -> DataFrame:
-        """Merge all runs into one with each identifier once, and return it."""
-        merged, base = self.merged(), f"base-{self.generation + 1}"
-        self._save(merged.withColumn("__run", F.lit(base)), self.generation + 1)
-        self.compacted += [r.removeprefix("run-") for r in self.runs if r.startswith("run-")]
-        self.generation, self.runs = self.generation + 1, [base]
+        """Merge everything into a new base with each identifier once, and return it."""
+        grown = self.rows > 2 * BUCKET_ROWS * self.buckets
+        then = self.buckets * (-(-self.rows // (BUCKET_ROWS * self.buckets)) if grown else 1)
+        name = f"base/{uuid.uuid4().hex}"
+        self.merged(then).write.parquet(f"{self.path}/{name}")
+        self.base, self.runs, self.buckets = name, [], then
         self._commit()
-        return self.spark.table(self._table(self.generation)).where(F.col("__run") == base).drop("__run")
+        return self.read()
+
+    def read(self) -> DataFrame:
+        """The base: what the last compaction made."""
+        rows = self.spark.read.schema(T.StructType.fromJson(json.loads(self.schema))).parquet(f"{self.path}/{self.base}")
+        return rows.select(*self.key, "copies", "body")
+
+    def vacuum(self) -> int:
+        """Delete runs and bases that the newest manifest doesn't name, leftovers of failed jobs included; returns how many."""
+        live = {*(r.rsplit("/", 1)[0] for r in self.runs), self.base}
+        old = [f"{kind}/{n}" for kind in ("runs", "base") for n in list_names(self.spark, f"{self.path}/{kind}") if f"{kind}/{n}" not in live]
+        for name in old:
+            remove(self.spark, f"{self.path}/{name}")
+        return len(old)
 
 
 def plain_name(column: str) -> Column:
@@ -143,27 +281,31 @@ def plain_run(column: str) -> Column:
     return F.regexp_replace(trimmed, r"^(\d{4}-\d{2}-\d{2})[T ](\d{2})[:-](\d{2})[:-](\d{2})(?:[.,]\d+)?(?:Z|\+00:?00)?$", "$1T$2-$3-$4Z")
 
 
-def collapse_deliveries(observations: DataFrame, path: str, runs: int = 3) -> DataFrame:
-    """Exactly one row per message (name, run_id, rev), with the number of its deliveries and the first one's columns.
+def plain_messages(observations: DataFrame) -> DataFrame:
+    """Deliveries with the identifier (name, run_id, rev) in plain form; the row as it came is in ``given``, other spellings in ``spelled``.
 
-    The deliveries come as ``runs`` upserts, stretches of consecutive batches; their number
-    is fixed, as each reads the input once. The compaction then collapses what lies in
-    several of them. Null and empty ``rev`` are one identifier, as are all spellings of a
-    name or run; a null name or run is ''. The other columns, whatever their names, are in
-    ``body.given``; spellings of the first delivery that differ from the plain ones are in
-    ``body.spelled``.
+    Null and empty ``rev`` are one identifier, as are all spellings of a name or run; a
+    null name or run is ''.
     """
     plain = {"name": plain_name("name"), "run_id": plain_run("run_id"), "rev": F.coalesce("rev", F.lit(""))}
-    batch = F.coalesce(F.col("batch_id").cast("long"), F.lit(0))
-    low, high = observations.agg(F.min(batch), F.max(batch)).first()
-    rows = observations.select(
+    return observations.select(
         *(c.alias(n) for n, c in plain.items()),
-        F.col("delivered_at").alias("delivered_at"),
-        F.floor((batch - (low or 0)) * runs / ((high or 0) - (low or 0) + 1)).alias("stretch"),
+        F.col("delivered_at"),
         F.struct(*(F.col(c).alias(c) for c in observations.columns if c not in {*plain, "delivered_at"})).alias("given"),
         F.struct(*(F.when(F.col(n) != c, F.col(n)).alias(n) for n, c in plain.items())).alias("spelled"),
     )
-    store = MessageStore(observations.sparkSession, path, list(plain), ["delivered_at"])
-    for k in range(runs):
-        store.upsert(f"stretch-{k}", rows.where(F.col("stretch") == k).drop("stretch"))
+
+
+def collapse_deliveries(observations: DataFrame, path: str, groups: int = GROUPS) -> DataFrame:
+    """Exactly one row per message (name, run_id, rev), with the number of its deliveries and the first one's columns.
+
+    The batches are upserted as ``groups`` sorted runs, and a compaction merges these. An
+    empty table gives no rows. The other columns, whatever their names, are in
+    ``body.given``.
+    """
+    store = MessageStore(observations.sparkSession, path, ["name", "run_id", "rev"])
+    rows = plain_messages(observations)
+    if not store.upsert(rows, F.col("given.batch_id"), F.unix_micros(F.col("delivered_at").cast("timestamp")), groups) and store.schema is None:
+        body = F.struct(*(F.col(c) for c in rows.columns if c not in store.key))
+        return rows.limit(0).select(*store.key, F.lit(0).cast("long").alias("copies"), body.alias("body"))
     return store.compact()

@@ -88,6 +88,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the shared folder, if it is there."""
+    fs, p, _ = hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Sorted names directly below a folder, empty when there is none."""
     fs, p, _ = hadoop_fs(spark, path)

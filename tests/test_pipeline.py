@@ -279,24 +279,81 @@ def test_deliveries_collapse(spark):
     assert dedup_store.collapse_deliveries(df.limit(0), work_dir(spark, "m")).count() == 0
 
 
-def test_store_upserts_are_idempotent_and_merge_without_a_shuffle(spark):
-    row = lambda *k: spark.createDataFrame([(x, at(2), y) for x, y in k], "k string, delivered_at timestamp, v string")
+def messages(spark, *rows):
+    """(k, batch, v) as deliveries."""
+    return spark.createDataFrame([(k, b, at(2), v) for k, b, v in rows], "k string, b long, delivered_at timestamp, v string")
+
+
+def upsert(store, df, groups=1):
+    return store.upsert(df, F.col("b"), F.unix_micros(F.col("delivered_at").cast("timestamp")), groups)
+
+
+def stored(df):
+    return sorted((r["k"], r["copies"]) for r in df.collect())
+
+
+def test_store_takes_every_batch_once_and_merges_without_sort_or_shuffle(spark):
     path = work_dir(spark, "s")
-    store = dedup_store.MessageStore(spark, path, ["k"], ["delivered_at"], buckets=4)
-    for _ in range(2):  # delivered twice
-        store.upsert("one", row(("a", "1"), ("b", "1"), ("a", "1")))
-    store.upsert("two", row(("a", "0"), ("c", "2")))
-    read = lambda df: sorted((r["k"], r["copies"], r["body"]["v"]) for r in df.collect())
-    assert read(store.merged()) == [("a", 3, "0"), ("b", 1, "1"), ("c", 1, "2")]
-    sized = dedup_store.MessageStore(spark, work_dir(spark, "s"), ["k"], ["delivered_at"], buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sized.upsert("one", spark.range(500).select(F.col("id").cast("string").alias("k"), F.lit(at(2)).alias("delivered_at")))
-    files = sized.spark.table(sized._table(0)).select(F.input_file_name().alias("f")).distinct().count()
-    assert files == sized.buckets and sized.merged().count() == 500  # one file per bucket, without a shuffle of its own
-    assert "Exchange" not in store.merged()._jdf.queryExecution().executedPlan().toString()
-    assert read(store.compact()) == [("a", 3, "0"), ("b", 1, "1"), ("c", 1, "2")]
-    assert not store.upsert("one", row(("z", "1")))  # compacted already
-    again = dedup_store.MessageStore(spark, path, ["k"], ["delivered_at"])
-    assert again.upsert("three", row(("a", "9"))) and read(again.merged()) == [("a", 4, "0"), ("b", 1, "1"), ("c", 1, "2")]
+    store = dedup_store.MessageStore(spark, path, ["k"], buckets=4)
+    first = messages(spark, ("a", 1, "1"), ("b", 1, "1"), ("a", 1, "1"), ("c", 2, "1"), (None, 2, "1"))
+    assert [upsert(store, first, 3) for _ in range(2)] == [2, 0]  # delivered twice
+    assert upsert(store, messages(spark, ("a", 3, "0"), ("d", 3, "2"), ("b", 1, "again"))) == 1  # of it batch 1 is there already
+    want = [("a", 3), ("b", 1), ("c", 1), ("d", 1)]
+    merged = store.merged()
+    assert stored(merged.where("k is not null")) == want and merged.where("k is null").count() == 1
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Aggregate" not in plan
+    assert stored(store.compact().where("k is not null")) == want
+    assert upsert(store, first) == 0  # compacted already
+    again = dedup_store.MessageStore(spark, path, ["k"])
+    assert upsert(again, messages(spark, ("a", 9, "9"), ("e", 9, "9"))) == 1
+    assert stored(again.merged().where("k is not null")) == [("a", 4), *want[1:], ("e", 1)]
+    assert stored(again.compact().where("k is not null")) == [("a", 4), *want[1:], ("e", 1)]
+    assert again.vacuum() > 0 and again.vacuum() == 0 and again.read().count() == 6
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("rl_")]
+
+
+def test_store_keeps_order_and_splits_grown_buckets(spark, monkeypatch):
+    monkeypatch.setattr(dedup_store, "BUCKET_ROWS", 100)
+    store = dedup_store.MessageStore(spark, work_dir(spark, "s"), ["k"], buckets=2)
+    numbers = lambda a, b, batch: spark.range(a, b).select(F.col("id").cast("string").alias("k"), F.lit(batch).cast("long").alias("b"), F.lit(at(2)).alias("delivered_at"), F.lit("v").alias("v"))
+    upsert(store, numbers(0, 500, 1).unionByName(numbers(300, 900, 2)), 2)
+    rows = store.compact()
+    assert store.buckets > 2 and rows.count() == 900 and rows.where("copies = 2").count() == 200
+    upsert(store, numbers(800, 1000, 3))
+    rows = store.compact()
+    assert rows.count() == 1000 and rows.where("copies = 2").count() == 300
+    hashes = spark.read.parquet(f"{store.path}/{store.base}").select(F.input_file_name().alias("p"), "__h").collect()
+    by_part = {}
+    for r in hashes:
+        by_part.setdefault(r["p"], []).append(r["__h"])
+    assert len(by_part) > 1 and all(h == sorted(h) for h in by_part.values())
+
+
+def test_merging_sorted_files(tmp_path):
+    """Stretches far shorter than the files, ties in order, and different identifiers of one hash."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    r = np.random.default_rng(3)
+    schema = pa.schema([("__h", pa.int64()), ("k", pa.string()), ("copies", pa.int64()), ("__at", pa.int64()), ("__tie", pa.int64()), ("body", pa.string())])
+    files, want = [], {}
+    for n in range(4):
+        rows = []
+        for k in sorted(set(r.integers(0, 400, 300).tolist())):
+            name = None if k == 7 else f"k{k}"
+            row = (k // 3 - 50, name, int(r.integers(1, 4)), int(r.integers(0, 3)), int(r.integers(0, 3)), f"{n}-{k}")
+            rows.append(row)
+            copies, best = want.get(name, (0, None))
+            want[name] = (copies + row[2], min(best or (row[3], row[4]), (row[3], row[4])))
+        rows.sort(key=lambda x: (x[0], r.random()))  # of one hash in any order
+        files.append(str(tmp_path / f"{n}.parquet"))
+        pq.write_table(pa.table([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema), files[-1], row_group_size=50)
+    for stretch in (1, 7, 64, 10_000):
+        out = pa.concat_tables(list(dedup_store.merge_files(files, ["k"], schema, stretch))).to_pylist()
+        assert {x["k"]: (x["copies"], (x["__at"], x["__tie"])) for x in out} == want and len(out) == len(want)
+        assert [x["__h"] for x in out] == sorted(x["__h"] for x in out)
+    assert list(dedup_store.merge_files([], ["k"], schema)) == []
 
 
 @pytest.mark.parametrize("query", ["p1_found", "p2_found", "p3_found", "p4_found", "p5_found", "p7_found"])
