@@ -59,7 +59,7 @@ def p4_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.unpublished_versions(table(spark, sf_dir, "packuments"))
+    return nested.unpublished_versions(table(spark, sf_dir, "packuments")).select("rec_id", "version", "by_name")
 
 
 def p5_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,11 @@ def p5_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_versions", F.col("n_versions").cast("long"))
 
 
+def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other nested lists of the same documents, as linked rows."""
+    return nested.flatten_paths(table(spark, sf_dir, "packuments"), ("maintainers[].name", "versions{}.dist.shasum", "versions{}.scripts{}"))
+
+
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_store.collapse_deliveries(table(spark, sf_dir, "observations"), work_dir(spark, "messages"))
 
@@ -81,7 +86,7 @@ def p7_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_versions, p2_found, p3_found, p3_state, p4_found, p4_revisions, p5_found, p5_documents, p7_found, p7_messages)
+    for f in (p1_found, p1_versions, p2_found, p3_found, p3_state, p4_found, p4_revisions, p5_found, p5_documents, p5_paths, p7_found, p7_messages)
 }
 
 _P1 = """
@@ -195,6 +200,16 @@ ORACLES = {
     "p5_found": _P5 + "select rec_id, version, by_name from found",
     "p5_documents": _P5
     + "select u.rec_id, u.j is not null as usable, case when json_type(u.j, '$.name') = 'VARCHAR' then json_extract_string(u.j, '$.name') end as name, u.by_name, (select count(*) from found where found.rec_id = u.rec_id) as n_versions from u",
+    "p5_paths": _P5
+    + """, people as (select rec_id, l, unnest(range(len(l))) as i from (select rec_id, from_json(json_extract(j, '$.maintainers'), '["JSON"]') as l from o where json_type(j, '$.maintainers') = 'ARRAY')),
+listed as (select rec_id, j, k, unnest(range(len(k))) as i from (select rec_id, j, json_keys(j, '$.versions') as k from o where json_type(j, '$.versions') = 'OBJECT')),
+vs as (select rec_id, i, k[i + 1] as k, json_extract(j, '/versions/' || replace(replace(k[i + 1], '~', '~0'), '/', '~1')) as v from listed),
+scripts as (select rec_id, i, v, s, unnest(range(len(s))) as n from (select rec_id, i, v, json_keys(v, '$.scripts') as s from vs where json_type(v, '$.scripts') = 'OBJECT')),
+reached as (
+  select rec_id, 'maintainers[].name' as path, i::varchar as position, null as key, json_extract(l[i + 1], '$.name') as x from people where json_type(l[i + 1], '$.name') is not null
+  union all select rec_id, 'versions{}.dist.shasum', i::varchar, k, json_extract(v, '$.dist.shasum') from vs where json_type(v, '$.dist.shasum') is not null
+  union all select rec_id, 'versions{}.scripts{}', i || '.' || n, s[n + 1], json_extract(v, '/scripts/' || replace(replace(s[n + 1], '~', '~0'), '/', '~1')) from scripts)
+select distinct rec_id, path, position, key, case json_type(x) when 'VARCHAR' then json_extract_string(x, '$') when 'NULL' then null else x::varchar end as value from reached""",
     "p7_found": _P7 + "select name, run_id, rev from m group by all having count(*) > 1",
     "p7_messages": _P7 + "select name, run_id, rev, count(*) as copies, min(delivered_at) as first_delivered from m group by all",
 }

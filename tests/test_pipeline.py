@@ -247,7 +247,7 @@ def test_nested_property(items):
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
     rows = nested._block_rows(np.frombuffer(b"".join(raws), dtype=np.uint8), offsets, list(range(len(raws))))
     for k, raw in enumerate(raws):
-        assert {(r[5], r[3]) for r in rows if r[0] == k and r[5] is not None} == _naive_versions(raw)
+        assert {(r[6], r[3]) for r in rows if r[0] == k and r[6] is not None} == _naive_versions(raw)
 
 
 def test_nested_beyond_the_parsers_depth():
@@ -260,9 +260,64 @@ def test_nested_beyond_the_parsers_depth():
     offsets = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
     rows = nested._block_rows(np.frombuffer(b"".join(raws), dtype=np.uint8), offsets, list(range(len(raws))))
     for k in range(len(raws)):
-        assert [r[1:] for r in rows if r[0] == k] == ([(True, None, "n", 2, None), (True, None, "n", 2, "1"), (True, None, "n", 2, "2")] if k < len(good) else [(False, None, "", 0, None)])
+        assert [r[1:] for r in rows if r[0] == k] == ([(True, None, "n", 2, None, None), (True, None, "n", 2, 0, "1"), (True, None, "n", 2, 1, "2")] if k < len(good) else [(False, None, "", 0, None, None)])
     at_cut = "[" * 1000 + "{}%s[]" + "]" * 1000
-    assert nested._valid_in_slices((at_cut % ",").encode()) and not any(nested._valid_in_slices((at_cut % x).encode()) for x in ("", "1", ",1", ":"))
+    assert valid([at_cut % x for x in (",", "", "1", ",1", ":")]) == [True, False, False, False, False]
+
+
+def valid(texts):
+    raws = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(r) for r in raws]))).astype(np.int64)
+    return nested.StructuralIndex(np.frombuffer(b"".join(raws), dtype=np.uint8), offsets).valid().tolist()
+
+
+def parses(text):
+    def no(constant):
+        raise ValueError(constant)
+
+    try:
+        json.loads(text, parse_constant=no)
+        return True
+    except ValueError:
+        return False
+
+
+LITERALS = ["", " ", "1", "-1", "01", "1.", ".5", "-", "1e5", "1E+", "1e-07", "+1", "true", "True", "nul", "null", "NaN", "Infinity", "-Infinity", '"a', '"', '"\\"', '"\\u12G4"', '"\\u1234"', '"\\u12"', '"\\x"', '"\n"', '"\t"', '"\x7f"', '"é"', "[1 2]", "[1,]", "[,1]", "[]", "[[]", "]", "[}", "{]", '{"a"}', '{"a":}', '{"a":1,}', '{,}', '{"a":1 "b":2}', '{1:2}', '{"a":1:2}', '{"a" "b"}', '["a":1]', '{"a":{"b":[{}]}}', "1 2", "{}{}", "[] ,", ":", ",", "\\", "a", '"a" "b"', '{"a":"b"}', '[{"a":[1,{"b":null}]},"x"]', '{"a":[}]', "[{]}", "][", "\ufeff{}"]
+
+
+def test_validity_from_the_index():
+    assert valid(LITERALS) == [parses(t) for t in LITERALS]  # side by side in one block
+    assert [valid([t])[0] for t in LITERALS] == [parses(t) for t in LITERALS]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(json_values, st.text(alphabet='{}[],:"\\u0aten1. -', max_size=3), st.integers(0, 40), st.booleans()), max_size=6))
+def test_validity_property(items):
+    """Texts with a stretch put in, or a character dropped, anywhere."""
+    texts = []
+    for value, more, at_, drop in items:
+        t = json.dumps(value, ensure_ascii=False)
+        k = at_ % (len(t) + 1)
+        texts.append(t[:k] + more + t[k + drop :])
+    assert valid(texts) == [parses(t) for t in texts]
+
+
+def test_paths(spark):
+    raws = [
+        {"a": [{"b": [1, "x", None]}, {"b": []}, 3, {"c": 1, "b": ["y", {"z": True}]}], "m": {"k1": {"v": "p"}, "k2": {"w": 1}, "k3": {"v": [1, 2]}}, "s": "top"},
+        {"a": {"b": 1}, "m": [], "s": 5},
+        [1],
+        {},
+    ]
+    df = spark.createDataFrame([(k, json.dumps(r), "clash") for k, r in enumerate(raws)] + [(9, '{"s":', "c"), (10, None, None), (0, json.dumps(raws[0]), "clash")], "rec_id long, raw string, path string")
+    got = {tuple(r) for r in nested.flatten_paths(df, ["s", "a[].b[]", "m{}.v", "m{}", "[]", "a[].b[].z"]).collect()}
+    assert got == {
+        (0, "s", "", None, "top"), (1, "s", "", None, "5"), (0, "a[].b[]", "0.0", None, "1"), (0, "a[].b[]", "0.1", None, "x"), (0, "a[].b[]", "0.2", None, None), (0, "a[].b[]", "3.0", None, "y"), (0, "a[].b[]", "3.1", None, '{"z": true}'),
+        (0, "m{}.v", "0", "k1", "p"), (0, "m{}.v", "2", "k3", "[1, 2]"), (0, "m{}", "0", "k1", '{"v": "p"}'), (0, "m{}", "1", "k2", '{"w": 1}'), (0, "m{}", "2", "k3", '{"v": [1, 2]}'), (0, "a[].b[].z", "3.1", None, "true"),
+    }
+    assert nested.flatten_paths(df.limit(0), ["s"]).count() == 0
+    parents, children = nested.linked_tables(spark.createDataFrame([(1, '{"time":{"unpublished":{"versions":["2","1","2"]}}}'), (2, "x")], "rec_id long, raw string"))
+    assert sorted(tuple(r) for r in children.collect()) == [(1, 0, "2", ""), (1, 1, "1", "")] and parents.count() == 2
 
 
 OBS = "name string, run_id string, rev string, batch_id int, delivered_at timestamp, copies long, body string, extra map<string,string>"
@@ -356,7 +411,7 @@ def test_merging_sorted_files(tmp_path):
     assert list(dedup_store.merge_files([], ["k"], schema)) == []
 
 
-@pytest.mark.parametrize("query", ["p1_found", "p2_found", "p3_found", "p4_found", "p5_found", "p7_found"])
+@pytest.mark.parametrize("query", ["p1_found", "p2_found", "p3_found", "p4_found", "p5_found", "p5_paths", "p7_found"])
 def test_found_queries_against_sql(spark, smallest, query):
     import os
 
