@@ -43,12 +43,12 @@ GROUPS = 4
 LATEST = 2**63 - 1
 
 
-def hashable(kind: T.DataType) -> bool:
-    """Whether Spark can hash values of the type."""
+def comparable(kind: T.DataType) -> bool:
+    """Whether Spark can hash and order values of the type."""
     if isinstance(kind, T.ArrayType):
-        return hashable(kind.elementType)
+        return comparable(kind.elementType)
     if isinstance(kind, T.StructType):
-        return all(hashable(f.dataType) for f in kind.fields)
+        return all(comparable(f.dataType) for f in kind.fields)
     return not isinstance(kind, (T.MapType, T.VariantType, T.NullType))
 
 
@@ -192,39 +192,33 @@ class MessageStore:
         if self.buckets is None:
             least, rows = buckets_for(self.spark), sum(counted.values())
             self.buckets = least * max(1, -(-rows // (BUCKET_ROWS * least)))
-        rest = [F.col(c) for c in messages.columns if c not in self.key]
-        hashed = [c for c in messages.columns if c not in self.key and hashable(messages.schema[c].dataType)]
+        rest = [c for c in messages.columns if c not in self.key]
+        hashed = [c for c in rest if comparable(messages.schema[c].dataType)]
         group = F.pmod(F.xxhash64(number), F.lit(groups))
         rows = messages if len(fresh) == len(counted) else messages.where(number.isin(fresh))
         rows = rows.select(
-            *self.key, group.alias("__g"), F.coalesce(order.cast("long"), F.lit(LATEST)).alias("__at"), F.xxhash64(*hashed).alias("__tie") if hashed else F.lit(0).cast("long").alias("__tie"), F.struct(*rest).alias("body")
+            *self.key, group.alias("__g"), F.coalesce(order.cast("long"), F.lit(LATEST)).alias("__at"), (F.hash(*hashed) if hashed else F.lit(0)).alias("__tie"), F.struct(*rest).alias("body")
         )
         mine = [F.col("__g") == g for g in range(groups)]
         row = F.struct("__at", "__tie", "body")
-        folded = rows.groupBy(*self.key).agg(
-            *(F.count_if(m).alias(f"n{g}") for g, m in enumerate(mine)), *(F.min_by(row, F.when(m, F.struct("__at", "__tie"))).alias(f"r{g}") for g, m in enumerate(mine))
-        )
+        first = (lambda m: F.min(F.when(m, row))) if len(hashed) == len(rest) else (lambda m: F.min_by(row, F.when(m, F.struct("__at", "__tie"))))
+        folded = rows.groupBy(*self.key).agg(*(F.count_if(m).alias(f"n{g}") for g, m in enumerate(mine)), *(first(m).alias(f"r{g}") for g, m in enumerate(mine)))
         each = F.array(*(F.struct(F.lit(g).alias("run"), F.col(f"n{g}").alias("copies"), F.col(f"r{g}").alias("r")) for g in range(groups)))
         one = folded.select(*self.key, F.explode(F.filter(each, lambda x: x["copies"] > 0)).alias("e"))
-        stored = one.select(F.xxhash64(*self.key).alias("__h"), F.hash(*self.key).alias("__m"), *self.key, "e.copies", "e.r.__at", "e.r.__tie", "e.r.body", "e.run", F.pmod(F.hash(*self.key), F.lit(self.buckets)).alias("bucket"))
+        stored = one.select(F.xxhash64(*self.key).alias("__h"), *self.key, "e.copies", "e.r.__at", "e.r.__tie", "e.r.body", "e.run", F.pmod(F.hash(*self.key), F.lit(self.buckets)).alias("bucket"))
         self.schema = stored.drop("run", "bucket").schema.json()
         name = f"runs/{uuid.uuid4().hex}"
-        stored.sortWithinPartitions("run", "bucket", "__h", *self.key).write.partitionBy("run", "bucket").parquet(f"{self.path}/{name}")
+        stored.sortWithinPartitions("run", "bucket", "__h", *self.key).write.partitionBy("run", "bucket").option("compression", "zstd").parquet(f"{self.path}/{name}")
         self.runs += [f"{name}/run={g}" for g in range(groups)]
         self.rows += sum(counted[b] for b in fresh)
         self.batches |= set(fresh)
         self._commit()
         return len(fresh)
 
-    def merged(self, buckets: int | None = None) -> DataFrame:
-        """All runs and the base merged, each identifier once; partition k of the result is bucket k, in order.
-
-        ``buckets``: a multiple of the store's, to split its buckets; each part then reads
-        the bucket it came from.
-        """
+    def merged(self) -> DataFrame:
+        """All runs and the base merged, each identifier once; partition k of the result is bucket k, in order."""
         if self.schema is None:
             raise ValueError("the store is empty")
-        now, then = self.buckets, buckets or self.buckets
         schema = T.StructType.fromJson(json.loads(self.schema))
         arrow, key, path, runs = to_arrow_schema(schema), self.key, self.path, self.runs
         places: dict[int, list[str]] = {}
@@ -235,23 +229,25 @@ class MessageStore:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in batch.column(0).to_pylist():
-                    bucket = part % now
+                for bucket in batch.column(0).to_pylist():
                     files = shared.value.get(bucket, []) + [f for r in runs for f in data_files(f"{path}/{r}/bucket={bucket}")]
                     for table in merge_files(files, key, arrow):
-                        if then != now:
-                            table = table.filter(pa.array(np.mod(_numbers(table, "__m"), then) == part))
                         yield from table.to_batches()
 
-        return self.spark.range(0, then, 1, then).mapInArrow(run, schema)
+        return self.spark.range(0, self.buckets, 1, self.buckets).mapInArrow(run, schema)
 
     def compact(self) -> DataFrame:
-        """Merge everything into a new base with each identifier once, and return it."""
-        grown = self.rows > 2 * BUCKET_ROWS * self.buckets
-        then = self.buckets * (-(-self.rows // (BUCKET_ROWS * self.buckets)) if grown else 1)
-        name = f"base/{uuid.uuid4().hex}"
-        self.merged(then).write.parquet(f"{self.path}/{name}")
-        self.base, self.runs, self.buckets = name, [], then
+        """Merge everything into a new base with each identifier once, and return it.
+
+        Only when the buckets have outgrown their size the merged rows are shuffled into
+        more of them.
+        """
+        rows, name = self.merged(), f"base/{uuid.uuid4().hex}"
+        if self.rows > 2 * BUCKET_ROWS * self.buckets:
+            self.buckets *= -(-self.rows // (BUCKET_ROWS * self.buckets))
+            rows = rows.repartition(self.buckets, *self.key).sortWithinPartitions("__h", *self.key)
+        rows.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
+        self.base, self.runs = name, []
         self._commit()
         return self.read()
 
@@ -308,4 +304,6 @@ def collapse_deliveries(observations: DataFrame, path: str, groups: int = GROUPS
     if not store.upsert(rows, F.col("given.batch_id"), F.unix_micros(F.col("delivered_at").cast("timestamp")), groups) and store.schema is None:
         body = F.struct(*(F.col(c) for c in rows.columns if c not in store.key))
         return rows.limit(0).select(*store.key, F.lit(0).cast("long").alias("copies"), body.alias("body"))
-    return store.compact()
+    rows = store.compact()
+    store.vacuum()
+    return rows
