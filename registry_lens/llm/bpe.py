@@ -4,15 +4,14 @@ Splitting and merging both work on flat arrays of many texts. The split into wor
 the published pattern by comparing the character classes of neighbours, with no regular
 expression in the loop. The distinct words of a block are found by a 64-bit hash, checked
 byte by byte, and those not met before are merged in rounds: the symbols of all words lie
-in one array, the rank of every adjacent pair is found by binary search over sorted pair
-keys, each word merges its lowest pair, and finished words leave the array. The vocabulary
+in one array, the rank of a pair is found by binary search over sorted pair keys, each word
+merges its lowest pair in a round, and finished words leave. The vocabulary
 is a fixed file, so what is broadcast has a fixed size.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
 import importlib.util
 import os
 import unicodedata
@@ -31,8 +30,8 @@ from registry_lens.session import spread
 BLOCK = 2 << 20
 #: Words a worker remembers before it starts anew; bounds its memory.
 REMEMBERED = 250_000
-#: A word of more bytes than this is merged with a heap, whose cost doesn't grow with the number of rounds.
-LONG_WORD = 4096
+#: Bytes of a stretch of a word (see ``merge_words``), and places after which the weights of the word hash repeat.
+STRETCH, PERIOD = 1024, 4096
 NO_RANK = np.int32(2**31 - 1)
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Characters with the Unicode property White_Space.
@@ -122,7 +121,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v, self.classes = vocabulary, character_classes()
         rng = np.random.default_rng(20260302)
-        self.weights = rng.integers(1, 2**63, size=LONG_WORD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.weights = rng.integers(1, 2**63, size=PERIOD, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self._forget()
 
     def _forget(self) -> None:
@@ -132,67 +131,75 @@ class Encoder:
 
     # merging
 
-    def _rank_pairs(self, symbols: np.ndarray, same_word: np.ndarray) -> np.ndarray:
-        keys = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols, by binary search over the sorted pair keys."""
+        keys = left.astype(np.int64) << 32 | right
         place = np.minimum(np.searchsorted(self.v.pair_keys, keys), len(self.v.pair_keys) - 1)
-        return np.where(same_word & (self.v.pair_keys[place] == keys), self.v.pair_ranks[place], NO_RANK)
-
-    def merge_words(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        """Token ids of each word, by merge rounds over all of them together."""
-        out: list[np.ndarray] = [np.zeros(0, dtype=np.int32)] * len(starts)
-        short = np.flatnonzero((lengths <= LONG_WORD) & (lengths > 0))
-        for k in np.flatnonzero(lengths > LONG_WORD):
-            out[k] = self.merge_long(data[starts[k] : starts[k] + lengths[k]])
-        if not len(short):
-            return out
-        word = np.repeat(short, lengths[short])
-        offset = np.arange(len(word)) - np.repeat(np.cumsum(lengths[short]) - lengths[short], lengths[short])
-        symbols = self.v.byte_ids[data[starts[word] + offset]]
-        while len(symbols):
-            same = word[:-1] == word[1:]
-            rank = np.append(self._rank_pairs(symbols, same), NO_RANK)
-            first = np.flatnonzero(np.append(True, ~same))
-            least = np.minimum.reduceat(rank, first)
-            counts = np.diff(np.append(first, len(symbols)))
-            done = least == NO_RANK
-            for k in np.flatnonzero(done):
-                out[word[first[k]]] = symbols[first[k] : first[k] + counts[k]].copy()
-            if done.all():
-                break
-            chosen = (rank == np.repeat(least, counts)) & (rank != NO_RANK)
+        return np.where(self.v.pair_keys[place] == keys, self.v.pair_ranks[place], NO_RANK)
+
+    def merge_words(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words end to end, how many each word has), by merge rounds over all of them together.
+
+        Symbols lie at their first byte's place, linked to their neighbours. A word is cut
+        into stretches, each with the least rank of its pairs. A round merges each word's
+        lowest pair: only stretches that have it are looked at, and only pairs beside a
+        merged one are ranked again, so a long word costs no more than what changes in it.
+        """
+        word = np.repeat(np.arange(len(starts)), lengths)
+        n = len(word)
+        if not n:
+            return np.zeros(0, dtype=np.int32), np.zeros(len(starts), dtype=np.int64)
+        first = np.cumsum(lengths) - lengths
+        at = np.arange(n) - first[word]
+        symbols = self.v.byte_ids[data[starts[word] + at]]
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        ends, begins = (first + lengths - 1)[lengths > 0], first[lengths > 0]
+        after[ends], before[begins] = n, n  # n is no place: the end of a word
+        rank = np.full(n + 1, NO_RANK, dtype=np.int32)
+        paired = np.flatnonzero(after[:n] < n)
+        rank[paired] = self._rank(symbols[paired], symbols[paired + 1])
+        cut = np.flatnonzero(at % STRETCH == 0)
+        of = np.cumsum(at % STRETCH == 0) - 1
+        size, owner = np.diff(np.append(cut, n)), word[cut]
+        least = np.minimum.reduceat(rank[:n], cut)
+
+        def places(stretches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            sizes = size[stretches]
+            heads = np.cumsum(sizes) - sizes
+            return np.repeat(cut[stretches] - heads, sizes) + np.arange(int(sizes.sum())), heads
+
+        live = np.arange(len(cut))
+        while True:
+            heads = np.flatnonzero(np.append(True, owner[live][1:] != owner[live][:-1]))
+            mine = least[live]
+            lowest = np.repeat(np.minimum.reduceat(mine, heads), np.diff(np.append(heads, len(live))))
+            going = lowest != NO_RANK
+            if not going.all():  # finished words leave
+                live, mine, lowest = live[going], mine[going], lowest[going]
+                if not len(live):
+                    break
+            active, wanted = live[mine == lowest], lowest[mine == lowest]
+            where, _ = places(active)
+            left = where[rank[where] == np.repeat(wanted, size[active])]
             # of overlapping pairs every second one, from the left
-            place = np.flatnonzero(chosen)
-            begins = np.append(True, np.diff(place) != 1)
-            run = np.maximum.accumulate(np.where(begins, np.arange(len(place)), 0))
-            place = place[(np.arange(len(place)) - run) % 2 == 0]
-            symbols[place] = rank[place]
-            keep = np.repeat(~done, counts)
-            keep[place + 1] = False
-            symbols, word = symbols[keep], word[keep]
-        return out
-
-    def merge_long(self, word: np.ndarray) -> np.ndarray:
-        """The same merges for one long word: a heap of pairs over a linked list of symbols."""
-        symbols = self.v.byte_ids[word].tolist()
-        n = len(symbols)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        find = dict(zip(self.v.pair_keys.tolist(), self.v.pair_ranks.tolist())).get
-        heap = [(r, k) for k in range(n - 1) if (r := find(symbols[k] << 32 | symbols[k + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, k = heapq.heappop(heap)
-            nxt = after[k] if symbols[k] >= 0 else n
-            if nxt >= n or find(symbols[k] << 32 | symbols[nxt]) != rank:
-                continue
-            symbols[k], symbols[nxt] = rank, -1
-            after[k] = after[nxt]
-            if after[k] < n:
-                before[after[k]] = k
-                if (r := find(rank << 32 | symbols[after[k]])) is not None:
-                    heapq.heappush(heap, (r, k))
-            if before[k] >= 0 and (r := find(symbols[before[k]] << 32 | rank)) is not None:
-                heapq.heappush(heap, (r, before[k]))
-        return np.array([s for s in symbols if s >= 0], dtype=np.int32)
+            count = np.arange(len(left))
+            run = np.maximum.accumulate(np.where(np.append(True, after[left[:-1]] != left[1:]), count, 0))
+            left = left[(count - run) % 2 == 0]
+            right = after[left]
+            beyond = after[right]
+            symbols[left] = rank[left]
+            symbols[right] = -1
+            after[left], before[beyond] = beyond, left
+            rank[right] = NO_RANK
+            previous = before[left]
+            again = np.concatenate((left, previous[previous < n]))
+            following = after[again]
+            rank[again] = np.where(following < n, self._rank(symbols[again], symbols[np.minimum(following, n - 1)]), NO_RANK)
+            touched = np.unique(of[np.concatenate((again, right))])
+            where, heads = places(touched)
+            least[touched] = np.minimum.reduceat(rank[where], heads)
+        kept = symbols >= 0
+        return symbols[kept], np.bincount(word[kept], minlength=len(starts))
 
     # words
 
@@ -203,15 +210,15 @@ class Encoder:
         number = np.fromiter((self.known.get(w, -1) for w in words), dtype=np.int64, count=len(words))
         fresh = np.flatnonzero(number < 0)
         if len(fresh):
-            merged = self.merge_words(data, starts[fresh], lengths[fresh])
-            base, sizes = len(self.known), np.array([len(m) for m in merged])
+            merged, sizes = self.merge_words(data, starts[fresh], lengths[fresh])
+            base = len(self.known)
             need = base + len(fresh)
             if need > len(self.at):
                 self.at, self.size = np.resize(self.at, 2 * need), np.resize(self.size, 2 * need)
             total = int(sizes.sum())
             if self.used + total > len(self.flat):
                 self.flat = np.resize(self.flat, 2 * (self.used + total))
-            self.flat[self.used : self.used + total] = np.concatenate(merged)
+            self.flat[self.used : self.used + total] = merged
             self.at[base:need] = self.used + np.cumsum(sizes) - sizes
             self.size[base:need] = sizes
             self.used += total
@@ -235,7 +242,7 @@ class Encoder:
         starts = begins if len(chars) == len(data) else np.flatnonzero((data & 0xC0) != 0x80)[begins]
         lengths = np.diff(np.append(starts, len(data)))
         place = np.arange(len(data)) - np.repeat(starts, lengths)
-        hashes = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * self.weights[place % LONG_WORD], starts)
+        hashes = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * self.weights[place % PERIOD], starts)
         _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         same = (lengths == lengths[first][inverse]).all() and np.array_equal(data, data[place + np.repeat(starts[first][inverse], lengths)])
         if not same:  # a collision of the hash: every word counts as distinct

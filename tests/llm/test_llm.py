@@ -9,6 +9,7 @@ import os
 import random
 import re
 import sys
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -78,6 +79,30 @@ def test_long_words_and_library(encoder, ranks):
     assert encode(encoder, NASTY) == [other.encode_ordinary(t or "") for t in NASTY]
 
 
+LONG = {
+    "one letter": "x" * 5_000_000,
+    "random": "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz", k=400_000)),
+    "period": "abcdefghij" * 100_000,
+    "signs": "".join(random.Random(2).choices("=-_*#", k=300_000)),
+    "letters of three bytes": "".join(random.Random(3).choices("的一是不了人我在有他", k=60_000)),
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_a_word_of_megabytes(encoder, ranks, kind):
+    """Linear enough for texts without a blank; equal to the library and, byte for byte, to the text."""
+    tiktoken = pytest.importorskip("tiktoken")
+    text = LONG[kind]
+    began = time.process_time()
+    (ids,) = encode(encoder, [text])
+    assert time.process_time() - began < 60
+    back = {v: k for k, v in ranks.items()}
+    assert b"".join(back[i] for i in ids).decode() == text
+    other = tiktoken.Encoding("other", pat_str=r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""", mergeable_ranks=ranks, special_tokens={})
+    part = text[:50_000]
+    assert encode(encoder, [part])[0] == other.encode_ordinary(part)
+
+
 def test_encoding_round_trip_in_spark(spark, ranks):
     back = {v: k for k, v in ranks.items()}
     rows = [(k, t, "clash") for k, t in enumerate(NASTY)] + [(None, "x", None), (0, "", None)]
