@@ -100,8 +100,8 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_ro
 
 
 #: (groups, share of the capacity up to which an item is small) of the plans that are drawn up. More groups round
-#: less but leave more patterns to round down; with the last limit large items stand alone and all others are best-fitted.
-VARIANTS = ((32, 0.125), (64, 0.125), (64, 0.25), (64, 0.34), (16, 0.5))
+#: less but leave more patterns to round down.
+VARIANTS = ((32, 0.125), (64, 0.125), (64, 0.25), (64, 0.34))
 
 
 def make_plan(histogram: np.ndarray, capacity: int, variants: tuple[tuple[int, float], ...] = VARIANTS) -> Plan:
