@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Config:
-    """Fixed values of the domain, as defaults."""
+    """Fixed values of the domain, as defaults: windows in seconds, sizes in bytes, limits in rows, and what a security holder looks like."""
 
     feed_page_limit: int = 10_000
     feed_seq_per_row_min: float = 1.5
@@ -21,7 +21,10 @@ class Config:
     recent_cap: int = 20
     new_package_window_s: int = 48 * 3_600
     clock_skew_s: int = 3_600
+    max_document_bytes: int = 32 * 1024 * 1024
     max_retained_bytes: int = 512 * 1024
+    fetch_cut_s: int = 38 * 60
+    fetch_wave: int = 50_000
     shard_max_rows: int = 2_000
     shard_max_bytes: int = 16 * 1024 * 1024
     retain_flags: tuple[str, ...] = ("new_package", "package_unpublished", "install_scripts")

@@ -31,6 +31,11 @@ def own_text(v: Column) -> Column:
     return none_if_empty(F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
 
 
+def let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, also where ``f`` uses it inside lambdas."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 class Document:
     """Column expressions over one document column."""
 
@@ -77,11 +82,24 @@ class Document:
     def version_names(self) -> Column:
         return F.map_keys(self.versions())
 
+    def timed(self) -> Column:
+        """(t, v, listed) of every version in ``time`` whose instant can be read, ascending; ``listed`` as it is in ``versions`` or not.
+
+        The two maps are joined by their keys, so the cost is linear in the versions.
+        """
+        times = F.coalesce(map_at(self.doc, "$.time"), F.create_map().cast(VERSION_MAP))
+        listed = F.transform_values(F.coalesce(self.versions(), F.create_map().cast(VERSION_MAP)), lambda k, x: F.lit(True))
+        both = F.map_entries(F.map_zip_with(times, listed, lambda k, t, there: F.struct(epoch(own_text(t)).alias("t"), there.isNotNull().alias("listed"))))
+        rows = F.filter(both, lambda e: ~e["key"].isin(*TIME_KEYS) & e["value"]["t"].isNotNull())
+        return F.array_sort(F.transform(rows, lambda e: F.struct(e["value"]["t"].alias("t"), e["key"].alias("v"), e["value"]["listed"].alias("listed"))))
+
+    @staticmethod
+    def plain(items: Column) -> Column:
+        return F.transform(items, lambda x: F.struct(x["t"].alias("t"), x["v"].alias("v")))
+
     def all_times(self) -> Column:
         """(t, v) of every version in ``time`` whose instant can be read, ascending."""
-        entries = F.filter(F.map_entries(map_at(self.doc, "$.time")), lambda e: ~e["key"].isin(*TIME_KEYS))
-        timed = F.transform(entries, lambda e: F.struct(epoch(own_text(e["value"])).alias("t"), e["key"].alias("v")))
-        return F.array_sort(F.coalesce(F.filter(timed, lambda x: x["t"].isNotNull()), F.array().cast("array<struct<t:bigint,v:string>>")))
+        return self.plain(self.timed())
 
     @staticmethod
     def newest(items: Column, n: int) -> Column:
@@ -103,9 +121,15 @@ class Document:
     def unpublished_by(self) -> Column:
         return F.when(self.unpublished_at().isNotNull(), text_at(self.doc, "$.time.unpublished.name"))
 
+    def unpublished_versions(self) -> Column:
+        """The versions a tombstone lists as texts; none without its instant."""
+        items = F.when(is_kind(self.doc, "$.time.unpublished.versions", "ARRAY"), F.try_variant_get(self.doc, "$.time.unpublished.versions", "array<variant>"))
+        names = F.filter(F.transform(items, own_text), lambda x: x.isNotNull())
+        return F.when(self.unpublished_at().isNotNull(), F.coalesce(names, F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+
     def missing_all(self) -> Column:
         """Timed versions that are no longer listed; none for a tombstone."""
-        gone = F.filter(self.all_times(), lambda x: ~F.array_contains(self.version_names(), x["v"]))
+        gone = self.plain(F.filter(self.timed(), lambda x: ~x["listed"]))
         return F.when(self.tombstone(), F.array().cast("array<struct<t:bigint,v:string>>")).otherwise(gone)
 
     def missing(self) -> Column:
@@ -114,13 +138,15 @@ class Document:
     def recent_all(self) -> Column:
         """Listed versions of the last month, up to an hour ahead of now, ascending."""
         low, high = self.now - self.c.recent_lookback_s, self.now + self.c.clock_skew_s
-        return F.filter(self.all_times(), lambda x: x["t"].between(low, high) & F.coalesce(F.array_contains(self.version_names(), x["v"]), F.lit(False)))
+        return self.plain(F.filter(self.timed(), lambda x: x["t"].between(low, high) & x["listed"]))
 
     def recent(self) -> Column:
         """Details of the newest of them."""
 
-        def detail(x: Column) -> Column:
-            v = F.try_element_at(self.versions(), x["v"])
+        def detail(versions: Column, x: Column) -> Column:
+            return let(F.try_element_at(versions, x["v"]), lambda v: fields(v, x))
+
+        def fields(v: Column, x: Column) -> Column:
             scripts = F.array_compact(F.array(*(F.when(text_at(v, f"$.scripts.{h}").isNotNull(), F.lit(h)) for h in HOOKS)))
             deps = F.coalesce(F.size(map_at(v, "$.dependencies")), F.lit(0))
             number = lambda p: F.when(F.schema_of_variant(F.try_variant_get(v, p, "variant")).rlike("BIGINT|DECIMAL|DOUBLE|FLOAT"), F.try_variant_get(v, p, "long"))
@@ -130,7 +156,8 @@ class Document:
                 repo_host(text_at(v, "$.repository.url")).alias("repo_host"), text_at(v, "$.deprecated").alias("deprecated"),
             )
 
-        return F.transform(self.newest(self.recent_all(), self.c.recent_cap), detail)
+        newest = self.newest(self.recent_all(), self.c.recent_cap)
+        return let(self.versions(), lambda versions: F.transform(newest, lambda x: detail(versions, x)))
 
     def security_holder(self) -> Column:
         """confirmed, suspected or null, by the latest version's name, repository and maintainer."""

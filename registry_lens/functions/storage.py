@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,3 +32,18 @@ def row_batches(uri: str, size: int, columns: list[str] | None = None) -> Iterat
     with fs.open_input_file(path) as f:
         for batch in pq.ParquetFile(f).iter_batches(batch_size=size, columns=columns):
             yield pa.Table.from_batches([batch])
+
+
+def copy_file(source: str, target: str, overwrite: bool = False) -> bool:
+    """Copy one file through a temporary name; False when the target is there and stays."""
+    from_fs, from_path = file_system(source)
+    to_fs, to_path = file_system(target)
+    if not overwrite and to_fs.get_file_info(to_path).type != pafs.FileType.NotFound:
+        return False
+    to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
+    partial = f"{to_path}.{uuid.uuid4().hex}.tmp"
+    with from_fs.open_input_stream(from_path, compression=None) as a, to_fs.open_output_stream(partial, compression=None) as b:
+        while chunk := a.read(1 << 20):
+            b.write(chunk)
+    to_fs.move(partial, to_path)
+    return True

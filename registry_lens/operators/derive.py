@@ -32,7 +32,7 @@ def _event(kind: str, ident: Column, version: Column | None, at: Column, **detai
         F.concat(F.lit(f"{_PREFIX[kind]}|"), F.col("name"), F.lit("|"), ident).alias("id"),
         (F.lit(None).cast("string") if version is None else version).alias("version"),
         at.cast("long").alias("at"),
-        F.to_json(F.struct(*(v.alias(k) for k, v in detail.items()))).alias("detail"),
+        F.to_json(F.struct(*(v.alias(k) for k, v in detail.items())), {"ignoreNullFields": "false"}).alias("detail"),
     )
 
 
@@ -55,11 +55,14 @@ def events_of(rows: DataFrame) -> DataFrame:
     read, first = diffable(), F.col("prev").isNull()
     when = lambda c, e: F.when(c, F.array(e)).otherwise(none)
     day = F.lit(86400)
+    given = lambda c, kind, instead=None: F.coalesce(F.col(c), F.lit(instead).cast(kind) if instead is None else instead) if c in rows.columns else (F.lit(None).cast(kind) if instead is None else instead)
+    no_texts = F.array().cast("array<string>")
     gone = when(F.col("outcome") == "gone", _event("gone", F.coalesce("rev", F.lit("norev")), None, seen, status=F.col("status")))
     dead = when(
         read & F.col("tombstone") & F.col("unpublishedAt").isNotNull(),
         _event(
-            "package_unpublish", F.col("unpublishedAt").cast("string"), None, F.col("unpublishedAt"), createdAt=F.col("created"), maintainers=F.col("maintainers"),
+            "package_unpublish", F.col("unpublishedAt").cast("string"), None, F.col("unpublishedAt"),
+            by=given("unpublishedBy", "string"), versions=given("unpublishedVersions", "array<string>", no_texts), createdAt=F.col("created"), maintainers=F.col("maintainers"),
             ageAtDeathDays=round_half_up((F.col("unpublishedAt") - F.col("created")) / day), noticedAfterDays=round_half_up((seen - F.col("unpublishedAt")) / day),
         ),
     )
@@ -67,14 +70,18 @@ def events_of(rows: DataFrame) -> DataFrame:
     known = F.transform(F.col("prev.times"), lambda t: t["v"])
     fresh = F.filter(F.coalesce("times", F.array().cast("array<struct<v:string,t:bigint>>")), lambda t: ~F.coalesce(F.array_contains(known, t["v"]), F.lit(False)))
     details = F.coalesce(F.map_from_entries(F.transform("recent", lambda r: F.struct(r["v"], r))), F.create_map()) if "recent" in rows.columns else None
-    is_new = F.array_contains(F.coalesce("flags", F.array().cast("array<string>")), "new_package")
+    flagged = F.array_contains(F.coalesce("flags", no_texts), "new_package")
+    is_new = F.coalesce(F.col("isNew"), flagged) if "isNew" in rows.columns else flagged
+    known_kinds = {"by": "string", "deps": "int", "integrity": "string", "unpackedSize": "bigint", "fileCount": "bigint", "license": "string", "repoHost": "string", "deprecated": "string"}
 
     def publish(t: Column) -> Column:
-        more = {}
+        more = {k: F.lit(None).cast(v) for k, v in known_kinds.items()}
+        scripts = no_texts
         if details is not None:
             r = F.try_element_at(details, t["v"])
-            more = {"by": r["by"], "installScripts": r["install_scripts"], "deps": r["deps"], "integrity": r["integrity"], "unpackedSize": r["unpacked_size"], "fileCount": r["file_count"], "license": r["license"], "repoHost": r["repo_host"], "deprecated": r["deprecated"]}
-        return _event("publish", t["v"], t["v"], t["t"], **more, isNewPackage=is_new)
+            more = {"by": r["by"], "deps": r["deps"], "integrity": r["integrity"], "unpackedSize": r["unpacked_size"], "fileCount": r["file_count"], "license": r["license"], "repoHost": r["repo_host"], "deprecated": r["deprecated"]}
+            scripts = F.coalesce(r["install_scripts"], no_texts)
+        return _event("publish", t["v"], t["v"], t["t"], by=more.pop("by"), installScripts=scripts, **more, isNewPackage=is_new)
 
     published = F.when(read, F.transform(fresh, publish)).otherwise(none)
     before, now = (F.array_sort(F.array_distinct(c)) for c in ("prev.maintainerHashes", "maintainerHashes"))

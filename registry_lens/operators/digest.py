@@ -56,6 +56,11 @@ def observed_counts(observations: DataFrame, day: Day, seen: str = "fetched_at")
     return observations.where(day.observed(seen)).agg(F.count_distinct("name").alias("packages_observed"), F.count("*").alias("observations"))
 
 
+def operations(gaps: DataFrame, day: Day) -> DataFrame:
+    """One row: gaps of the day, and how many of them were refused by the gate."""
+    return gaps.where(day.observed("at")).agg(F.count("*").alias("gaps"), F.count_if(F.col("kind") == "pii_refused").alias("pii_refused"))
+
+
 def graveyard(events: DataFrame, day: Day) -> DataFrame:
     """Packages that died on the day, latest first."""
     return _graves(events.where((F.col("kind") == "package_unpublish") & day.happened())).orderBy(F.col("at").desc(), "name", "id")
@@ -108,13 +113,14 @@ def install_scripts(events: DataFrame, day: Day, most: int = 25) -> DataFrame:
     return rows.select("name", "version", "at", F.array_join(scripts, ",").alias("scripts")).orderBy(F.col("at").desc(), "name", "version").limit(most)
 
 
-def collect(date: str, events: DataFrame, observations: DataFrame, packages: DataFrame, scores: DataFrame | None = None, affected: DataFrame | None = None) -> dict:
+def collect(date: str, events: DataFrame, observations: DataFrame, packages: DataFrame, scores: DataFrame | None = None, affected: DataFrame | None = None, gaps: DataFrame | None = None) -> dict:
     """The report as a dictionary of plain values; every list in it is a top list or one day's deaths."""
     day = Day(date)
     rows = lambda df: [r.asDict() for r in df.collect()]
     return {
         "date": date,
         "totals": totals(events, day).first().asDict() | observed_counts(observations, day).first().asDict(),
+        "operations": operations(gaps, day).first().asDict() if gaps is not None else {"gaps": 0, "pii_refused": 0},
         "security_holders": packages.where("security_holder is not null").count(),
         "graveyard": rows(graveyard(events, day)),
         "resurfaced": rows(resurfaced(events, day)),
@@ -144,4 +150,6 @@ def render(data: dict) -> tuple[str, str]:
         if data[key]:
             lines += [f"## {title}", "", "| " + " | ".join(fields) + " |", "|" + "---|" * len(fields)]
             lines += ["| " + " | ".join(str(r[f] if r[f] is not None else "").replace("|", "\\|") for f in fields) + " |" for r in data[key]] + [""]
+    o = data["operations"]
+    lines += [f"{plural(t['observations'], 'observation')} of {plural(t['packages_observed'], 'package')}, {plural(o['gaps'], 'gap')}, {plural(o['pii_refused'], 'refusal')}, {plural(data['security_holders'], 'security holder')}.", ""]
     return check_text("\n".join(lines)), check_text(json.dumps(data, indent=2, ensure_ascii=False, default=str))

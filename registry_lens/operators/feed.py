@@ -14,7 +14,7 @@ from registry_lens.operators.index import newest_per_key
 def work_queue(*queues: DataFrame) -> DataFrame:
     """Recovered, deferred and drained rows as one queue: the newest row per package, highest sequence first."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), queues)
-    return newest_per_key(rows).orderBy(F.col("seq").desc())
+    return newest_per_key(rows).orderBy(F.col("seq").desc(), "id")
 
 
 def sequence_ratio(feed: DataFrame, config: Config = CONFIG) -> DataFrame:
@@ -25,11 +25,6 @@ def sequence_ratio(feed: DataFrame, config: Config = CONFIG) -> DataFrame:
     return one.withColumn("ratio", ratio).withColumn("suspicious", F.coalesce(out, F.lit(False)))
 
 
-def observed_ratio(feed: DataFrame) -> DataFrame:
-    """The same feed with its bounds as observed metrics, read by a listener without a pass of its own."""
-    return feed.observe("feed_ratio", F.count(F.lit(1)).alias("n_rows"), F.min("seq").alias("first"), F.max("seq").alias("last"))
-
-
 def pages(feed: DataFrame, config: Config = CONFIG) -> DataFrame:
     """Rows, first and last sequence of each page, a page being a range of sequence numbers."""
     return feed.groupBy(F.floor(F.col("seq") / config.feed_page_limit).alias("page")).agg(F.count("*").alias("n_rows"), F.min("seq").alias("since"), F.max("seq").alias("last"))

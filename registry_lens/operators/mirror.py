@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import uuid
 
 import pyarrow as pa
@@ -11,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registry_lens.config import CONFIG, Config
+from registry_lens.functions.storage import copy_file
 from registry_lens.session import hadoop_fs, persist_table, read_text, write_text_once
 
 
@@ -115,19 +114,11 @@ def assert_distinct(spark: SparkSession, primary: str, mirror: str, config: Conf
 
 def copy_keys(keys: DataFrame, primary: str, mirror: str, overwrite: bool = False) -> int:
     """Copy objects by key, in tasks; returns how many were copied. Existing objects stay unless ``overwrite`` (repair)."""
-    strip = lambda p: p.split("://", 1)[1] if p.startswith("file://") else p
-    source, target = strip(primary), strip(mirror)
+    source, target = primary.rstrip("/"), mirror.rstrip("/")
 
     def run(batches):
         for batch in batches:
-            done = 0
-            for key in batch.column(0).to_pylist():
-                to = os.path.join(target, key)
-                if overwrite or not os.path.exists(to):
-                    os.makedirs(os.path.dirname(to), exist_ok=True)
-                    shutil.copyfile(os.path.join(source, key), to + ".tmp")
-                    os.replace(to + ".tmp", to)
-                    done += 1
+            done = sum(copy_file(f"{source}/{key}", f"{target}/{key}", overwrite) for key in batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array([done])], names=["n"])
 
     return keys.select("key").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

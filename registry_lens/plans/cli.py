@@ -8,10 +8,9 @@ import json
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registry_lens.config import CONFIG
 from registry_lens.operators import advisories, budget, derive, digest, feed, index, ledger, mirror, similarity
 from registry_lens.plans import recorder
 from registry_lens.session import read_text, ship, write_text_once
@@ -25,6 +24,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return recorder.hadoop_fs(spark, path)[0].exists(recorder.hadoop_fs(spark, path)[1])
 
 
+def blob_key(c: str) -> Column:
+    """The key of a feed blob from that of one of its files."""
+    return F.regexp_replace(c, "(/shard=[^/]*)?/[^/]*$", "")
+
+
 def build_index(spark: SparkSession, store: str, into: str, salt: str | None = None) -> dict[str, DataFrame]:
     """Rebuild the index tables from the archive and read them back."""
     raw = jsonl.read_observations(spark, f"{store}/raw/obs")
@@ -36,20 +40,24 @@ def build_index(spark: SparkSession, store: str, into: str, salt: str | None = N
         records = jsonl.read_advisories(spark, f"{store}/raw/osv", salt)
         tables["osv_records"] = advisories.latest_records(records).drop("key", "line_no")
         tables["osv_affects"] = advisories.affected_pairs(records)
+    if _exists(spark, f"{store}/private/pkg"):
+        tables["retained"] = jsonl.read_documents(spark, f"{store}/private/pkg", f"{store}/raw/pkg" if _exists(spark, f"{store}/raw/pkg") else None)
+    popular = 0
     if _exists(spark, f"{store}/popular.json"):
+        popular = jsonl.read_popular(spark, f"{store}/popular.json").count()
         fresh = obs.where(F.array_contains("flags", "new_package")).select("name")
         tables["typosquat"] = similarity.scores(fresh, jsonl.read_popular(spark, f"{store}/popular.json"))
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{into}/{name}")
     out = {name: spark.read.schema(df.schema).parquet(f"{into}/{name}") for name, df in tables.items()}
     built = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    index.build_meta(built, out["observations"], out["events"], 0).write.mode("overwrite").parquet(f"{into}/build_meta")
+    index.build_meta(built, out["observations"], out["events"], popular).write.mode("overwrite").parquet(f"{into}/build_meta")
     return out
 
 
 def report(tables: dict[str, DataFrame], date: str) -> tuple[str, str]:
     affected = advisories.affects(tables["osv_records"], tables["osv_affects"]) if "osv_records" in tables else None
-    data = digest.collect(date, tables["events"], tables["observations"].withColumnRenamed("fetchedAt", "fetched_at"), tables["packages"], tables.get("typosquat"), affected)
+    data = digest.collect(date, tables["events"], tables["observations"].withColumnRenamed("fetchedAt", "fetched_at"), tables["packages"], tables.get("typosquat"), affected, tables.get("gaps"))
     return digest.render(data)
 
 
@@ -89,7 +97,7 @@ def restore_drill(spark: SparkSession, copy: str, into: str, expected_graves: Da
     tables = build_index(spark, copy, into)
     graves = digest.graveyard(tables["events"], digest.Day(date)).select("id", "name", "at")
     keys = mirror.listing(spark, f"{copy}/raw/feed").select("key")
-    last = feed.max_seq_of_keys(keys.withColumn("key", F.regexp_replace("key", "/[^/]*$", ""))).first()[0]
+    last = feed.max_seq_of_keys(keys.withColumn("key", blob_key("key"))).first()[0]
     same = graves.exceptAll(expected_graves.select("id", "name", "at")).isEmpty() and expected_graves.select("id", "name", "at").exceptAll(graves).isEmpty()
     return {"events": tables["events"].count(), "max_seq": last, "graves_match": same}
 
@@ -118,24 +126,17 @@ def usage(spark: SparkSession, store: str, ceiling: str | None = None) -> list[d
     return rows
 
 
-def read_anchor(spark: SparkSession, store: str, now: dt.datetime) -> tuple[dict | None, bool]:
-    """(last usage measurement or None if unusable, whether it is stale)."""
-    try:
-        data = json.loads(jsonl.latest_text(spark, f"{store}/usage") or "")
-        age = (now - dt.datetime.fromisoformat(data["at"])).total_seconds()
-        return data, age > CONFIG.usage_stale_s
-    except (ValueError, KeyError, TypeError):
-        return None, False
-
-
 def arguments() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="registry_lens")
-    p.add_argument("mode", choices=("record", "bootstrap", "index", "store-check", "recover-cursor", "ledger", "verify-chain", "mirror", "restore-drill", "usage"))
+    p.add_argument("mode", choices=("record", "advisories", "bootstrap", "index", "store-check", "recover-cursor", "ledger", "verify-chain", "mirror", "restore-drill", "usage"))
     p.add_argument("--store", required=True)
     p.add_argument("--date")
     p.add_argument("--into")
     p.add_argument("--feed")
     p.add_argument("--documents")
+    p.add_argument("--listing")
+    p.add_argument("--records")
+    p.add_argument("--ceiling")
     p.add_argument("--copy")
     p.add_argument("--ledger")
     p.add_argument("--hours", type=float, default=24)
@@ -159,12 +160,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ship(spark)
     need = lambda name: getattr(a, name) or arguments().error(f"--{name} is missing")
     if a.mode == "record":
-        out = recorder.record(spark, a.store, need("feed"), spark.read.parquet(need("documents")), salt, dt.datetime.now(dt.timezone.utc), a.max_fetch)
+        out = recorder.record(spark, a.store, need("feed"), spark.read.parquet(need("documents")), salt, dt.datetime.now(dt.timezone.utc), a.max_fetch, ceiling=budget.parse_ceiling(a.ceiling))
         print(json.dumps(out))
+    elif a.mode == "advisories":
+        print(json.dumps(recorder.sync_advisories(spark, a.store, need("listing"), spark.read.parquet(need("records")), salt, dt.datetime.now(dt.timezone.utc))))
     elif a.mode == "bootstrap":
         recorder.write_cursor(spark, a.store, Cursor.bootstrap(need("head"), a.hours, recorder.read_cursor(spark, a.store), a.force))
     elif a.mode == "recover-cursor":
-        keys = mirror.listing(spark, f"{a.store}/raw/feed").select(F.regexp_replace("key", "/[^/]*$", "").alias("key"))
+        keys = mirror.listing(spark, f"{a.store}/raw/feed").select(blob_key("key").alias("key"))
         top = feed.max_seq_of_keys(keys).first()[0] or 0
         recorder.write_cursor(spark, a.store, Cursor.recover(top, recorder.read_cursor(spark, a.store), a.force_rewind))
     elif a.mode == "index":
@@ -185,7 +188,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(json.dumps(rows))
         return int(not good)
     elif a.mode == "usage":
-        print(json.dumps(usage(spark, a.store)))
+        print(json.dumps(usage(spark, a.store, a.ceiling)))
     else:
         graves = spark.read.parquet(need("ledger"))
         found = restore_drill(spark, a.store, need("into"), graves, need("date"))

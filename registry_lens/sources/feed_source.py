@@ -9,12 +9,15 @@ one partition. ``spark.dataSource.register(FeedSource)``, then
 from __future__ import annotations
 
 import json
-import os
 import re
 from collections.abc import Iterator
 
+import pyarrow.fs as pafs
+
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from registry_lens.functions.storage import file_system
+
 PAGE = re.compile(r"feed-(\d+)-(\d+)\.jsonl$")
 SCHEMA = "seq bigint, id string, revs array<string>, deleted boolean"
 
@@ -27,31 +30,43 @@ class Page(InputPartition):
 
 
 def pages(folder: str) -> list[tuple[int, int, str]]:
-    found = [(m, n) for n in os.listdir(folder) if (m := PAGE.match(n))]
-    return sorted((int(m[1]), int(m[2]), os.path.join(folder, n)) for m, n in found)
+    """(first, last, URI) of the landed pages, in order; none when the folder is missing."""
+    fs, path = file_system(folder)
+    names = [f.base_name for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))]
+    found = [(m, n) for n in names if (m := PAGE.match(n))]
+    return sorted((int(m[1]), int(m[2]), f"{folder.rstrip('/')}/{n}") for m, n in found)
+
+
+def head(folder: str) -> int | None:
+    """The last sequence that has landed; None without pages."""
+    return max((last for _, last, _ in pages(folder)), default=None)
 
 
 def read_page(page: Page) -> Iterator[tuple]:
-    with open(page.path, encoding="utf-8") as f:
-        for line in f:
-            if not line.strip():
-                continue
-            row = json.loads(line)
-            if row.get("k") == "feedhdr" or not page.since < row["seq"] <= page.last:
-                continue
-            yield (row["seq"], row.get("id"), [c.get("rev") for c in row.get("changes") or []], row.get("deleted") is True)
+    fs, path = file_system(page.path)
+    with fs.open_input_stream(path) as f:
+        text = f.read().decode("utf-8")
+    for line in text.split("\n"):
+        if not line.strip():
+            continue
+        row = json.loads(line)
+        if row.get("k") == "feedhdr" or not page.since < row["seq"] <= page.last:
+            continue
+        yield (row["seq"], row.get("id"), [c.get("rev") for c in row.get("changes") or []], row.get("deleted") is True)
 
 
-def plan(folder: str, since: int, last: int) -> list[Page]:
-    return [Page(path, max(a, since), min(b, last)) for a, b, path in pages(folder) if b > since and a < last]
+def plan(folder: str, since: int, last: int, most: int | None = None) -> list[Page]:
+    """The pages that a range of sequences needs, in order; at most ``most`` of them."""
+    return [Page(path, max(a, since), min(b, last)) for a, b, path in pages(folder) if b > since and a < last][:most]
 
 
 class FeedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.folder, self.since, self.last = options["path"], int(options.get("since", -1)), int(options.get("last", 2**62))
+        self.most = int(options["maxPages"]) if "maxPages" in options else None
 
     def partitions(self):
-        return plan(self.folder, self.since, self.last)
+        return plan(self.folder, self.since, self.last, self.most)
 
     def read(self, partition):
         return read_page(partition) if partition is not None else iter(())  # none: there was no page to plan
@@ -66,11 +81,12 @@ class FeedStreamReader(DataSourceStreamReader):
         return {"seq": self.start}
 
     def latestOffset(self) -> dict:
-        head = max((b for _, b, _ in pages(self.folder)), default=self.seen)
-        if head < self.seen:
-            raise ValueError(f"the feed went back from {self.seen} to {head}")
-        self.seen = head
-        return {"seq": head}
+        last = head(self.folder)
+        last = self.seen if last is None else last
+        if last < self.seen:
+            raise ValueError(f"the feed went back from {self.seen} to {last}")
+        self.seen = last
+        return {"seq": last}
 
     def partitions(self, start: dict, end: dict):
         return plan(self.folder, start["seq"], end["seq"])

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry_lens.config import CONFIG, Config
 from registry_lens.functions.documents import is_kind
 from registry_lens.functions.privacy import redact, redact_json
-from registry_lens.session import hadoop_fs, list_names, read_text, write_text_once
+from registry_lens.session import hadoop_fs, list_names, read_text, remove, write_text_once
 
 Guard = Callable[[DataFrame], DataFrame]
 
@@ -43,6 +47,24 @@ def _pairs(doc: Column, path: str) -> Column:
     return F.filter(pairs, lambda x: x["v"].isNotNull())
 
 
+#: Details of a recent version: the archive's names and types, and the columns they become.
+DETAILS = (
+    ("v", "string", "v"), ("t", "bigint", "t"), ("by", "string", "by"), ("installScripts", "array<string>", "install_scripts"), ("deps", "int", "deps"), ("integrity", "string", "integrity"), ("shasum", "string", "shasum"),
+    ("unpackedSize", "bigint", "unpacked_size"), ("fileCount", "bigint", "file_count"), ("license", "string", "license"), ("repoHost", "string", "repo_host"), ("deprecated", "string", "deprecated"),
+)
+
+
+def _details(doc: Column) -> Column:
+    items = F.when(is_kind(doc, "$.recent", "ARRAY"), F.try_variant_get(doc, "$.recent", "array<variant>"))
+    rows = F.transform(items, lambda x: F.struct(*(F.try_variant_get(x, f"$.{name}", kind).alias(column) for name, kind, column in DETAILS)))
+    return F.filter(rows, lambda r: r["v"].isNotNull())
+
+
+def archive_details(recent: Column) -> Column:
+    """Details of recent versions under the archive's names."""
+    return F.transform(recent, lambda r: F.struct(*(r[column].alias(name) for name, _, column in DETAILS)))
+
+
 def read_observations(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Observation rows in archive order; unreadable lines and other kinds are dropped, missing fields are null."""
     doc = F.col("doc")
@@ -51,7 +73,8 @@ def read_observations(spark: SparkSession, path: str, since: str | None = None)
     return rows.select(
         "key", "line_no", get("run", "string"), get("name", "string"), get("seq", "bigint"), get("rev", "string"), get("revInt", "bigint"), get("feedDeleted", "boolean"), get("fetchedAt", "string"), get("status", "int"), get("outcome", "string"), get("bytes", "bigint"),
         get("created", "bigint"), get("modified", "bigint"), get("distTags", "map<string,string>"), get("maintainers", "array<string>"), get("maintainerHashes", "array<string>"), get("versionCount", "int"), _pairs(doc, "$.times").alias("times"), _pairs(doc, "$.missing").alias("missing"),
-        get("missingCount", "int"), get("truncated", "boolean"), get("tombstone", "boolean"), get("unpublishedAt", "bigint"), get("securityHolder", "string"), get("flags", "array<string>"),
+        get("missingCount", "int"), get("truncated", "boolean"), get("tombstone", "boolean"), get("unpublishedAt", "bigint"), get("unpublishedBy", "string"), get("unpublishedVersions", "array<string>"),
+        get("securityHolder", "string"), get("isNew", "boolean"), get("packumentKey", "string"), get("flags", "array<string>"), _details(doc).alias("recent"),
     )
 
 
@@ -86,24 +109,34 @@ def read_popular(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_delta(spark: SparkSession, path: str, watermark: str) -> DataFrame:
-    """(modified, id) lines after a watermark of a headless listing, newest first; a cut-off last line is dropped."""
-    rows = spark.read.schema("modified string, id string").csv(path)
-    return rows.where(F.col("id").isNotNull() & F.col("modified").rlike(r"^\d{4}-\d{2}-\d{2}T") & (F.col("modified") > watermark))
-
+    """(modified, id) lines after a watermark of a headless listing; a last line without its end is cut off and dropped.
 
-def write_jsonl(df: DataFrame, path: str, guard: Guard, config: Config = CONFIG, mode: str = "errorifexists") -> None:
-    """Guarded gzip JSON lines, at most ``shard_max_rows`` rows to a file; nulls are written."""
-    writer = guard(df).write.mode(mode).option("compression", "gzip").option("ignoreNullFields", "false").option("maxRecordsPerFile", config.shard_max_rows)
-    writer.json(path)
+    The listing comes as files of bounded size, each read whole.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.split("value", "\n").alias("l")).select(F.explode(F.slice("l", 1, F.greatest(F.size("l") - 1, F.lit(0)))).alias("line"))
+    parts = lines.select(F.split(F.regexp_replace("line", "\r$", ""), ",", 2).alias("p")).select(F.get("p", 0).alias("modified"), F.get("p", 1).alias("id"))
+    return parts.where((F.col("id") != "") & F.col("modified").rlike(r"^\d{4}-\d{2}-\d{2}T") & (F.col("modified") > watermark))
 
 
-def assign_shards(df: DataFrame, key: str, order: list[str], config: Config = CONFIG) -> DataFrame:
-    """Adds ``shard``: rows of a key, in order, go to the next shard when it would exceed its rows or bytes."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    by_rows = F.floor(F.count(F.lit(1)).over(w) / config.shard_max_rows)
-    size = F.octet_length(F.to_json(F.struct(*df.columns))) + 1
-    by_bytes = F.floor(F.coalesce(F.sum(size).over(w), F.lit(0)) / config.shard_max_bytes)
-    return df.withColumn("shard", F.greatest(by_rows, by_bytes).cast("int"))
+def write_jsonl(df: DataFrame, path: str, guard: Guard, config: Config = CONFIG, mode: str = "errorifexists") -> None:
+    """Guarded gzip JSON lines; nulls are written. A shard is closed by ``shard_max_rows`` rows or ``shard_max_bytes`` bytes, whatever comes first."""
+    rows, limit = config.shard_max_rows, config.shard_max_bytes
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, count, size = uuid.uuid4().hex[:12], 0, 0
+        n = 0
+        for batch in batches:
+            names = []
+            for length in pc.binary_length(batch.column(0)).to_pylist():
+                if count and (count >= rows or size + length + 1 > limit):
+                    n, count, size = n + 1, 0, 0
+                count, size = count + 1, size + length + 1
+                names.append(f"{shard}-{n:05d}")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, type=pa.string())], names=["value", "shard"])
+
+    guarded = guard(df)
+    lines = guarded.select(F.to_json(F.struct(*guarded.columns), {"ignoreNullFields": "false"}).alias("value"))
+    lines.mapInArrow(assign, "value string, shard string").write.mode(mode).partitionBy("shard").option("compression", "gzip").text(path)
 
 
 def write_once(df: DataFrame, path: str, guard: Guard) -> bool:
@@ -115,15 +148,29 @@ def write_once(df: DataFrame, path: str, guard: Guard) -> bool:
     return True
 
 
+QUEUE = "seq bigint, id string, changes array<struct<rev:string>>, deleted boolean, arrived_at timestamp"
+
+
 def write_queue(df: DataFrame, path: str) -> None:
-    """The deferred queue: always overwritten, also by an empty one."""
-    df.write.mode("overwrite").parquet(path)
+    """The deferred queue, always replaced, also by an empty one: written beside the old rows, then a small file names the new ones.
+
+    A job or machine lost on the way leaves the old queue in force. Rows that no queue
+    names any more are deleted, but for those of the queue before.
+    """
+    spark = df.sparkSession
+    before = latest_text(spark, f"{path}/current")
+    name = f"rows-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(f"{path}/{name}")
+    replace_text(spark, f"{path}/current", json.dumps({"rows": name}))
+    keep = {name, json.loads(before)["rows"] if before else name}
+    for old in list_names(spark, path):
+        if old.startswith("rows-") and old not in keep:
+            remove(spark, f"{path}/{old}")
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
-    schema = "seq bigint, id string, changes array<struct<rev:string>>, deleted boolean, arrived_at timestamp"
-    fs, p, _ = hadoop_fs(spark, path)
-    return spark.read.schema(schema).parquet(path) if fs.exists(p) else spark.createDataFrame([], schema)
+    current = latest_text(spark, f"{path}/current")
+    return spark.read.schema(QUEUE).parquet(f"{path}/{json.loads(current)['rows']}") if current else spark.createDataFrame([], QUEUE)
 
 
 def replace_text(spark: SparkSession, folder: str, text: str) -> str:

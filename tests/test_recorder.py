@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import hashlib
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,7 +85,12 @@ def test_runs_and_cursor(spark, archive):
     cursor = recorder.read_cursor(spark, store)
     assert cursor.last_seq == 10 and cursor.pending_key is None and cursor.runs == 2 and second["prevRunId"] == first["runId"]
     gaps = {(r["kind"], r["name"]) for r in jsonl.read_gaps(spark, f"{store}/raw/gaps").collect()}
-    assert gaps == {("fetch_failed", "nodoc")}
+    assert gaps == {("fetch_failed", "nodoc"), ("deferred", None)} and second["deferred"] == 1  # nodoc is tried again
+    assert [r["id"] for r in jsonl.read_queue(spark, f"{store}/queue").collect()] == ["nodoc"]
+    shard = second["obsShards"][0]
+    assert hashlib.sha256(open(f"{store}/{shard['key']}", "rb").read()).hexdigest() == shard["sha256"] and sum(x["rows"] for x in second["obsShards"]) == 3 + 2
+    kept = {r["name"]: r for r in jsonl.read_documents(spark, f"{store}/private/pkg").collect()}
+    assert set(kept) == {"a", "dead"} and "@" not in kept["a"]["raw"] and sum(x["rows"] for x in second["retained"]) == 2
     assert ledger.is_canonical(open(f"{store}/raw/runs/2026/03/05/{first['runId']}.json", "rb").read())
 
 
@@ -100,7 +107,13 @@ def test_index_events_report(spark, archive, monkeypatch):
     packages = {r["name"]: r for r in spark.read.parquet(f"{into}/packages").collect()}
     assert packages["a"]["latest_version"] == "2.0.0" and packages["a"]["observations"] == 2 and packages["dead"]["is_dead"] == 1
     markdown, data = open(f"{into}/digests/2026-03-05.md").read(), json.load(open(f"{into}/digests/2026-03-05.json"))
-    assert "dead" in markdown and data["totals"]["publishes"] == 1 and data["totals"]["version_unpublishes"] == 1 and data["graveyard"][0]["name"] == "dead"
+    assert "dead" in markdown and data["totals"]["publishes"] == 1 and data["totals"]["version_unpublishes"] == 1
+    assert data["graveyard"] == [{"id": "punpub|dead|1772672400", "name": "dead", "at": 1772672400, "by": "ann", "age_days": 4, "versions_lost": 1}]
+    assert data["install_scripts"] == [{"name": "a", "version": "2.0.0", "at": 1772668800, "scripts": "install"}]
+    assert data["operations"] == {"gaps": 4, "pii_refused": 0} and "4 gaps" in markdown
+    details = {(r["kind"], r["name"], r["version"]): json.loads(r["detail"]) for r in spark.read.parquet(f"{into}/events").collect()}
+    assert details["publish", "a", "2.0.0"] == {"by": None, "installScripts": ["install"], "deps": 0, "integrity": None, "unpackedSize": None, "fileCount": None, "license": None, "repoHost": None, "deprecated": None, "isNewPackage": False}
+    assert details["package_unpublish", "dead", None]["versions"] == ["1.0.0"] and spark.read.parquet(f"{into}/retained").count() == 2
 
 
 def test_stream_equals_batch(spark, archive):
@@ -187,6 +200,79 @@ def test_a_crash_loses_nothing(spark, monkeypatch):
     assert seen() == ["a", "b", "c"] and recorder.read_cursor(spark, store).pending_key is None
 
 
+def test_retained_documents_and_degraded_runs(spark):
+    """Compressed size decides; addresses that redaction can't reach are refused; soft keeps deaths only, hard keeps to the feed."""
+    from registry_lens.config import Config
+
+    def big(name, readme, **kw):
+        return json.dumps(json.loads(document(name, {"2.0.0": 4}, **kw)) | {"readme": readme})
+
+    store, pages = local(spark, "retain"), local(spark, "retain-pages")
+    noise = random.Random(4).randbytes(6000).hex()
+    land(pages, 0, [(1, "bloated"), (2, "noise"), (3, "dead"), (4, "huge"), (5, "leak")])
+    docs = [("bloated", 200, big("bloated", "the quick brown fox. " * 1000, died="2026-03-05T01:00:00.000Z")), ("noise", 200, big("noise", noise)), ("dead", 200, document("dead", {"1.0.0": 2}, died="2026-03-05T01:00:00.000Z")), ("huge", 200, big("huge", "y" * 40_000)), ("leak", 200, big("leak", "mailto:nobody"))]
+    documents = spark.createDataFrame(docs, DOCS)
+    config = Config(max_retained_bytes=4_000, max_document_bytes=30_000, fetch_wave=2)
+    first = recorder.record(spark, store, pages, documents, SALT, NOW, config=config)
+    names = lambda: {r["name"] for r in jsonl.read_documents(spark, f"{store}/private/pkg").collect()}
+    gaps = lambda: {(r["kind"], r["name"], r["detail"] and r["detail"].split("=")[0]) for r in jsonl.read_gaps(spark, f"{store}/raw/gaps").collect()}
+    assert names() == {"bloated", "dead"}
+    assert gaps() == {("too_large", "noise", "packument_gz"), ("too_large", "huge", None), ("pii_refused", "leak", "packument:mailto"), ("deferred", None, "count")}
+    assert (first["fetched"], first["deferred"], first["mode"]) == (5, 1, "steady")  # huge stays in the queue
+    obs = {r["name"]: r for r in jsonl.read_observations(spark, f"{store}/raw/obs").collect()}
+    assert obs["dead"]["packumentKey"].startswith("private/pkg/") and obs["noise"]["packumentKey"] is None and obs["dead"]["unpublishedVersions"] == ["1.0.0"]
+    # a soft budget keeps what is lost elsewhere, a hard one defers all
+    land(pages, 5, [(6, "dead"), (7, "noise2")])
+    more = spark.createDataFrame([docs[2], ("noise2", 200, document("noise2", {"1.0.0": 2}))], DOCS)
+    soft = recorder.record(spark, store, pages, more, SALT, NOW + dt.timedelta(hours=1), used_bytes=80, ceiling=100, config=config)
+    assert soft["budget"]["tier"] == "soft" and [x["rows"] for x in soft["retained"]] == [1] and ("budget", None, "tier") in gaps()
+    land(pages, 7, [(8, "late")])
+    hard = recorder.record(spark, store, pages, more, SALT, NOW + dt.timedelta(hours=2), used_bytes=99, ceiling=100, config=config)
+    assert hard["mode"] == "triage" and hard["fetched"] == 0 and ("triage", None, "queue") in gaps()
+    # a clock that runs out after the first stretch
+    ticks = iter([NOW, NOW, NOW + dt.timedelta(hours=9)])
+    cut = recorder.record(spark, store, pages, more, SALT, NOW + dt.timedelta(hours=3), used_bytes=0, config=config, clock=lambda: next(ticks, NOW + dt.timedelta(hours=9)))
+    assert cut["fetched"] == 2 and cut["deferred"] >= 1
+    with pytest.raises(ValueError):
+        recorder.write_cursor(spark, store, dataclasses.replace(recorder.read_cursor(spark, store), last_seq=99))
+        recorder.record(spark, store, pages, more, SALT, NOW + dt.timedelta(hours=4))  # past the feed's head
+
+
+def test_queue_is_never_lost(spark, monkeypatch):
+    path = work_dir(spark, "q")
+    rows = lambda n: spark.createDataFrame([(k, f"p{k}", [], False, None) for k in range(n)], jsonl.QUEUE)
+    jsonl.write_queue(rows(3), path)
+    jsonl.write_queue(jsonl.read_queue(spark, path).where("seq > 0"), path)  # out of itself
+    assert jsonl.read_queue(spark, path).count() == 2
+    held = jsonl.read_queue(spark, path)
+
+    def fails(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jsonl, "replace_text", fails)
+        with pytest.raises(OSError):
+            jsonl.write_queue(rows(0), path)
+    assert jsonl.read_queue(spark, path).count() == 2
+    jsonl.write_queue(rows(0), path)
+    assert jsonl.read_queue(spark, path).count() == 0 and held.count() == 2  # readers of the queue before go on
+
+
+def test_advisory_sync(spark, monkeypatch):
+    store, folder = local(spark, "sync"), local(spark, "listing")
+    os.makedirs(folder)
+    with open(f"{folder}/a.csv", "w") as f:
+        f.write("2026-03-05T00:00:00Z,MAL-3\n2026-03-04T00:00:00Z,MAL-2\nbroken\n2026-03-03T00:00:00Z,MAL-1\n2026-03-06T00:00:00Z,MAL-")
+    records = lambda *ids: spark.createDataFrame([(i, "2026-03-05T00:00:00Z", "by ann@corp.test") for i in ids], "id string, modified string, summary string")
+    out = recorder.sync_advisories(spark, store, folder, records("MAL-1", "MAL-3", "MAL-9"), SALT, NOW)
+    assert (out["wanted"], out["stored"], out["watermark"]) == (3, 2, "2026-03-03T00:00:00Z")  # MAL-2 is missing
+    records("MAL-2", "MAL-3").write.parquet(f"{store}/landed")
+    monkeypatch.setenv("LENS_SALT", SALT)
+    assert cli.main(["advisories", "--store", store, "--listing", folder, "--records", f"{store}/landed"], spark) == 0
+    assert recorder.read_cursor(spark, store).osv_watermark == "2026-03-05T00:00:00Z"
+    assert {r["id"] for r in jsonl.read_advisories(spark, f"{store}/raw/osv", SALT).collect()} == {"MAL-1", "MAL-2", "MAL-3"}
+
+
 def test_advisories_are_stored_redacted(spark):
     from registry_lens.functions import privacy
 
@@ -209,7 +295,7 @@ def test_usage_store_check_and_cli(spark, archive, monkeypatch):
     rows = cli.usage(spark, store)
     total = next(r for r in rows if r["prefix"] is None)
     assert total["tier"] == "ok" and total["bytes"] == sum(r["bytes"] for r in rows if r["prefix"])
-    assert cli.read_anchor(spark, store, dt.datetime.now(dt.timezone.utc))[1] is False
+    assert recorder.read_anchor(spark, store, dt.datetime.now(dt.timezone.utc))[1] is False
     assert cli.main(["record", "--store", store], spark) == 2  # no salt
     other = local(spark, "other")
     monkeypatch.setenv("LENS_SALT", SALT)
@@ -254,9 +340,14 @@ def test_writer_needs_a_guard_and_shards(spark):
         jsonl.write_jsonl(leak, work_dir(spark, "w"), privacy.gate)
     from registry_lens.config import Config
 
-    small = Config(shard_max_rows=10, shard_max_bytes=10**6)
-    shards = jsonl.assign_shards(df.withColumn("k", F.lit("a")), "k", ["n"], small).groupBy("shard").count()
-    assert sorted((r["shard"], r["count"]) for r in shards.collect()) == [(0, 10), (1, 10), (2, 5)]
+    def shards(config):
+        path = work_dir(spark, "w")
+        jsonl.write_jsonl(df.coalesce(1), path, jsonl.no_guard, config)
+        return sorted(r["count"] for r in jsonl.read_lines(spark, path).groupBy("key").count().collect())
+
+    assert shards(Config(shard_max_rows=10, shard_max_bytes=10**6)) == [5, 10, 10]
+    assert shards(Config(shard_max_rows=10**6, shard_max_bytes=120)) == [1, 4, 4, 4, 4, 4, 4]
+    assert shards(Config(shard_max_rows=10, shard_max_bytes=1)) == [1] * 25  # a row larger than a shard has one of its own
     path = work_dir(spark, "w")
     assert jsonl.write_once(df, path, jsonl.no_guard) and not jsonl.write_once(df, path, jsonl.no_guard)
     assert jsonl.read_lines(spark, path).count() == 25
