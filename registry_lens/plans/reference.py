@@ -78,26 +78,29 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OBS = "o as (select * from (select *, row_number() over (partition by run, name order by delivered_at desc) as rn from obs_snapshots) where rn = 1)"
 _PREV = (
     f"with {_OBS}, p as (select *, epoch_us(fetchedAt::timestamptz) // 1000000 as seen, outcome in ('ok', 'tombstone') as readable, "
-    "last_value(case when outcome in ('ok', 'tombstone') then {'times': times, 'h': list_sort(list_distinct(maintainerHashes)), 'r': revInt, 'run': run} end ignore nulls) "
+    "last_value(case when outcome in ('ok', 'tombstone') then {'times': times, 'h': list_sort(list_distinct(maintainerHashes)), 'm': maintainers, 'r': revInt, 'run': run} end ignore nulls) "
     "over (partition by name order by fetchedAt, run, seq rows between unbounded preceding and 1 preceding) as prev from o where name is not null)"
 )
 _EVENTS = (
     _PREV
     + """, e as (
-  select 'gone|' || name || '|' || coalesce(rev, 'norev') as id, 'gone' as kind, name, null as version, seen as "at", fetchedAt as observed_at, run as run_id, seq, prev is null as backfill from p where outcome = 'gone'
+  select 'gone|' || name || '|' || coalesce(rev, 'norev') as id, 'gone' as kind, name, null as version, seen as "at", fetchedAt as observed_at, run as run_id, seq, prev is null as backfill, json_object('status', status)::varchar as detail from p where outcome = 'gone'
   union all
-  select 'punpub|' || name || '|' || unpublishedAt, 'package_unpublish', name, null, unpublishedAt, fetchedAt, run, seq, prev is null from p where readable and tombstone and unpublishedAt is not null
+  select 'punpub|' || name || '|' || unpublishedAt, 'package_unpublish', name, null, unpublishedAt, fetchedAt, run, seq, prev is null,
+    json_object('by', null, 'versions', []::varchar[], 'createdAt', created, 'maintainers', maintainers, 'ageAtDeathDays', floor((unpublishedAt - created) / 86400 + 0.5)::bigint, 'noticedAfterDays', floor((seen - unpublishedAt) / 86400 + 0.5)::bigint)::varchar from p where readable and tombstone and unpublishedAt is not null
   union all
-  select 'vunpub|' || name || '|' || m.v, 'version_unpublish', name, m.v, m.t, fetchedAt, run, seq, prev is null from (select *, unnest(missing) as m from p where readable)
+  select 'vunpub|' || name || '|' || m.v, 'version_unpublish', name, m.v, m.t, fetchedAt, run, seq, prev is null, json_object('originalPublishAt', m.t, 'noticedAt', seen)::varchar from (select *, unnest(missing) as m from p where readable)
   union all
-  select 'publish|' || name || '|' || t.v, 'publish', name, t.v, t.t, fetchedAt, run, seq, prev is null from (select *, unnest(times) as t from p where readable)
+  select 'publish|' || name || '|' || t.v, 'publish', name, t.v, t.t, fetchedAt, run, seq, prev is null,
+    json_object('by', null, 'installScripts', []::varchar[], 'deps', null, 'integrity', null, 'unpackedSize', null, 'fileCount', null, 'license', null, 'repoHost', null, 'deprecated', null, 'isNewPackage', coalesce(list_contains(flags, 'new_package'), false))::varchar from (select *, unnest(times) as t from p where readable)
     where not coalesce(list_contains(list_transform(prev.times, lambda x: x.v), t.v), false)
   union all
-  select 'maint|' || name || '|' || coalesce(rev, fetchedAt), 'maintainer_change', name, null, seen, fetchedAt, run, seq, false from p
+  select 'maint|' || name || '|' || coalesce(rev, fetchedAt), 'maintainer_change', name, null, seen, fetchedAt, run, seq, false,
+    json_object('from', prev.m, 'to', maintainers, 'fromCount', len(prev.h), 'toCount', len(list_distinct(maintainerHashes)))::varchar from p
     where readable and len(prev.h) > 0 and len(maintainerHashes) > 0 and prev.h is distinct from list_sort(list_distinct(maintainerHashes))
   union all
-  select 'revgap|' || name || '|' || prev.r || '-' || revInt, 'rev_gap', name, null, seen, fetchedAt, run, seq, false from p where readable and revInt - prev.r >= 2
-), f as (select * from (select *, row_number() over (partition by id order by run_id, observed_at, kind, name, version nulls first, "at" nulls first, seq, backfill) as rn from e) where rn = 1)
+  select 'revgap|' || name || '|' || prev.r || '-' || revInt, 'rev_gap', name, null, seen, fetchedAt, run, seq, false, json_object('fromRev', prev.r, 'toRev', revInt, 'unexplained', revInt - prev.r - 1)::varchar from p where readable and revInt - prev.r >= 2
+), f as (select * from (select *, row_number() over (partition by id order by run_id, observed_at, kind, name, version nulls first, "at" nulls first, seq, backfill, detail) as rn from e) where rn = 1)
 """
 )
 
@@ -121,9 +124,9 @@ def prev_diffable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("name", "run", F.col("prev.run").alias("prev_run"), F.col("prev.revInt").alias("prev_rev"), F.size("prev.times").cast("long").alias("prev_times"))
 
 
-@query(_EVENTS + "select id, kind, name, version, \"at\", observed_at, run_id, seq, backfill from f")
+@query(_EVENTS + "select id, kind, name, version, \"at\", observed_at, run_id, seq, backfill, detail from f")
 def derive_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derived(spark, sf_dir).drop("detail")
+    return _derived(spark, sf_dir)
 
 
 @query(_EVENTS + "select id, name, \"at\", split_part(split_part(id, '|', -1), '-', 1)::bigint as from_rev, split_part(split_part(id, '|', -1), '-', 2)::bigint as to_rev, split_part(split_part(id, '|', -1), '-', 2)::bigint - split_part(split_part(id, '|', -1), '-', 1)::bigint - 1 as unexplained from f where kind = 'rev_gap'")
@@ -154,12 +157,12 @@ def event_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 ), k as (
   select distinct name, last_value(created ignore nulls) over a as created, last_value(distTags['latest'] ignore nulls) over a as latest_version, last_value(versionCount ignore nulls) over a as version_count,
     last_value(unpublishedAt ignore nulls) over a as unpublished_at, last_value(securityHolder ignore nulls) over a as security_holder, array_to_string(last_value(maintainers ignore nulls) over a, ',') as maintainers,
-    last_value(case when outcome in ('ok', 'tombstone') then tombstone end ignore nulls) over a as currently_dead
+    last_value(case when outcome in ('ok', 'tombstone') then tombstone end ignore nulls) over a as currently_dead, array_to_string(last_value(flags) over a, ',') as flags
   from o where name is not null window a as (partition by name order by fetchedAt, run, seq rows between unbounded preceding and unbounded following)
 ) select * from w join k using (name)"""
 )
 def package_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.fold_packages(_obs(spark, sf_dir)).drop("flags").withColumn("maintainers", F.array_join("maintainers", ","))
+    return index.fold_packages(_obs(spark, sf_dir)).withColumns({c: F.array_join(c, ",") for c in ("maintainers", "flags")})
 
 
 @query(
@@ -185,6 +188,14 @@ times as (
 tomb as (select rec_id, json_type(j, '$.versions') is distinct from 'OBJECT' or json_type(j, '$.time.unpublished') is not null as tombstone from o)
 """
 
+#: Versions of the last month, and the newest 20 of them with their documents and install hooks.
+_RECENT = """, rec as (select rec_id, v, t, json_extract(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1')) as d from tv where listed is not null and t between now - 2592000 and now + 3600),
+det as (
+  select rec_id, v, t, d, list_filter(list_transform(['preinstall', 'install', 'postinstall'], lambda h: case when json_type(d, '/scripts/' || h) = 'VARCHAR' and json_extract_string(d, '/scripts/' || h) <> '' then h end), lambda x: x is not null) as scripts,
+    case when json_type(d, '$.dependencies') = 'OBJECT' then len(json_keys(d, '$.dependencies')) else 0 end::bigint as deps
+  from (select *, row_number() over (partition by rec_id order by t desc, v desc) as n from rec) where n <= 20)
+"""
+
 
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, docs.Document]:
     rows = table(spark, sf_dir, "packuments").select("rec_id", "fetched_run", "raw").distinct()
@@ -255,18 +266,18 @@ def doc_people_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _DOC
-    + """select rec_id, v, t, nullif(json_extract_string(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/_npmUser/name'), '') as by,
-  case when json_type(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/license') = 'VARCHAR' then nullif(json_extract_string(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/license'), '') end as license,
-  nullif(json_extract_string(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/dist/shasum'), '') as shasum,
-  try_cast(json_extract_string(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/dist/unpackedSize') as bigint) as unpacked_size,
-  coalesce(len(json_keys(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/dependencies')), 0)::bigint as deps,
-  coalesce(nullif(json_extract_string(j, '/versions/' || replace(replace(v, '~', '~0'), '/', '~1') || '/scripts/postinstall'), '') is not null, false) as post
-  from (select *, row_number() over (partition by rec_id order by t desc, v desc) as n from tv where listed is not null and t between now - 2592000 and now + 3600) where n <= 20"""
+    + _RECENT
+    + """select rec_id, v, t, case when json_type(d, '$._npmUser.name') = 'VARCHAR' then nullif(json_extract_string(d, '$._npmUser.name'), '') end as by, array_to_string(scripts, ',') as install_scripts, deps,
+  case when json_type(d, '$.dist.integrity') = 'VARCHAR' then nullif(json_extract_string(d, '$.dist.integrity'), '') end as integrity, case when json_type(d, '$.dist.shasum') = 'VARCHAR' then nullif(json_extract_string(d, '$.dist.shasum'), '') end as shasum,
+  case when json_type(d, '$.dist.unpackedSize') in ('BIGINT', 'UBIGINT', 'DOUBLE') then try_cast(json_extract_string(d, '$.dist.unpackedSize') as bigint) end as unpacked_size, case when json_type(d, '$.dist.fileCount') in ('BIGINT', 'UBIGINT', 'DOUBLE') then try_cast(json_extract_string(d, '$.dist.fileCount') as bigint) end as file_count,
+  case when json_type(d, '$.license') = 'VARCHAR' then nullif(json_extract_string(d, '$.license'), '') end as license,
+  case when json_type(d, '$.repository.url') = 'VARCHAR' then nullif(lower(regexp_extract(regexp_replace(regexp_replace(json_extract_string(d, '$.repository.url'), '^git\\+', ''), '^git:', 'https:'), '^[A-Za-z+]+://(?:[^/@]*@)?([^/:?#]+)', 1)), '') end as repo_host,
+  case when json_type(d, '$.deprecated') = 'VARCHAR' then nullif(json_extract_string(d, '$.deprecated'), '') end as deprecated from det"""
 )
 def doc_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, d = _documents(spark, sf_dir)
-    x = rows.select("rec_id", F.explode(d.recent()).alias("x"))
-    return x.select("rec_id", "x.v", "x.t", "x.by", "x.license", "x.shasum", "x.unpacked_size", F.col("x.deps").cast("long").alias("deps"), F.array_contains("x.install_scripts", "postinstall").alias("post"))
+    x = rows.select("rec_id", F.explode(d.recent()).alias("x")).select("rec_id", "x.*")
+    return x.withColumns({"install_scripts": F.array_join("install_scripts", ","), "deps": F.col("deps").cast("long")})
 
 
 def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,10 +285,35 @@ def _fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("fetched_run").alias("run"), "name", F.col("rec_id").alias("seq"), F.lit(None).cast("string").alias("rev"), F.lit(False).alias("feed_deleted"), scalars.run_instant("fetched_run").alias("now"), F.lit(200).alias("status"), "raw")
 
 
-@query()
+@query(
+    _DOC
+    + _RECENT
+    + f""", base as (select distinct rec_id, name, fetched_run, raw from packuments),
+c as (
+  select b.rec_id as seq, b.name, b.fetched_run as run, o.j is not null as there, o.j, o.now, coalesce(t.tombstone, false) as tombstone,
+    case when json_type(o.j, '$.versions') = 'OBJECT' then len(json_keys(o.j, '$.versions')) else 0 end::bigint as version_count,
+    case when coalesce(t.tombstone, false) then 0 else (select count(*) from tv where tv.rec_id = b.rec_id and listed is null) end as missing_count,
+    (select count(*) from rec where rec.rec_id = b.rec_id) as recent_count, coalesce((select bool_or(len(scripts) > 0) from det where det.rec_id = b.rec_id), false) as scripted,
+    case when json_type(o.j, '$.time.unpublished.time') = 'VARCHAR' then epoch_us(try_cast(json_extract_string(o.j, '$.time.unpublished.time') as timestamptz)) // 1000000 end as unpublished_at,
+    coalesce(epoch_us(try_cast(case when json_type(o.j, '$.time.created') = 'VARCHAR' then json_extract_string(o.j, '$.time.created') end as timestamptz)) // 1000000 >= o.now - 172800, false) as is_new,
+    case when json_type(o.j, '$."dist-tags".latest') = 'VARCHAR' then json_extract_string(o.j, '$."dist-tags".latest') end as latest,
+    coalesce((select bool_or(coalesce(json_extract_string(m, '$.name') = '{docs.CONFIG.holder_login}' and json_extract_string(m, '$.email') = '{docs.CONFIG.holder_email}', false))
+      from (select unnest(from_json(case when json_type(o.j, '$.maintainers') = 'ARRAY' then json_extract(o.j, '$.maintainers') else '[]' end, '["JSON"]')) as m)), false) as owner
+  from base b left join o on o.rec_id = b.rec_id left join tomb t on t.rec_id = b.rec_id
+), h as (
+  select *, coalesce(latest like '%-security', false) as named, coalesce(json_extract_string(j, '/versions/' || replace(replace(latest, '~', '~0'), '/', '~1') || '/repository/url') = '{docs.CONFIG.holder_repo}', false) as repo, missing_count > 100 or recent_count > 20 as truncated from c
+), s as (
+  select *, case when named and repo and owner then 'confirmed' when named and (repo or owner) then 'suspected' end as holder from h
+), f as (
+  select *, case when not there then ['fetch_failed'] else list_filter([case when is_new then 'new_package' end, case when scripted then 'install_scripts' end, case when missing_count > 0 then 'version_unpublished' end,
+    case when tombstone then 'package_unpublished' end, case when holder is not null then 'security_holder_' || holder end, case when truncated then 'truncated' end], lambda x: x is not null) end as flags from s
+)
+select seq, name, run, case when not there then 'error' when json_type(j, '$.versions') = 'OBJECT' then 'ok' else 'tombstone' end as outcome, version_count, missing_count, recent_count, truncated, tombstone, unpublished_at, holder as security_holder, is_new,
+  array_to_string(flags, ',') as flags, len(list_filter(flags, lambda x: x in ('new_package', 'package_unpublished', 'install_scripts') or x like 'security_holder_%')) > 0 as retained from f"""
+)
 def doc_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = observe.observations(_fetched(spark, sf_dir), SALT)
-    return obs.select("seq", "name", "run", "outcome", "version_count", "missing_count", "recent_count", "truncated", "tombstone", "unpublished_at", "security_holder", "is_new", F.array_join("flags", ",").alias("flags"), docs.retain(F.col("flags")).alias("retained"))
+    return obs.select("seq", "name", "run", "outcome", *(F.col(c).cast("long").alias(c) for c in ("version_count", "missing_count", "recent_count")), "truncated", "tombstone", "unpublished_at", "security_holder", "is_new", F.array_join("flags", ",").alias("flags"), docs.retain(F.col("flags")).alias("retained"))
 
 
 # advisories
@@ -354,14 +390,15 @@ _SCORES = (
     _NAMES
     + """, b as (select * from (select *, row_number() over (partition by name order by distance, rank, target) as rn from hits) where rn = 1),
 s as (select name, target, distance, collision, round(least(1.0, (case when collision then 1.0::double else (cutoff + 1 - distance)::double / (cutoff + 1) end) * 0.7::double + (1 - least(rank, 5000)::double / 5000) * 0.3::double
-  + case when regexp_extract(name, '^@([^/]+)/', 1) <> '' and regexp_extract(name, '^@([^/]+)/', 1) in (select regexp_extract(target, '^@([^/]+)/', 1) from pop) then 0.15::double else 0 end), 3) as score from b)
+  + case when regexp_extract(name, '^@([^/]+)/', 1) <> '' and regexp_extract(name, '^@([^/]+)/', 1) in (select regexp_extract(target, '^@([^/]+)/', 1) from pop) then 0.15::double else 0 end), 3) as score from b),
+near as (select name, array_to_string(list(target order by distance, rank, target)[1:3], ',') as nearest from (select distinct name, target, distance, rank from hits) group by name)
 """
 )
 
 
-@query(_SCORES + "select name, target, distance, collision, score from s")
+@query(_SCORES + "select name, target, distance, collision, score, nearest from s join near using (name)")
 def similarity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.scores(*_names(spark, sf_dir)).select("name", "target", F.col("distance").cast("long").alias("distance"), "collision", "score")
+    return similarity.scores(*_names(spark, sf_dir)).select("name", "target", F.col("distance").cast("long").alias("distance"), "collision", "score", F.array_join("nearest", ",").alias("nearest"))
 
 
 @query(_NAMES + "select form, count(*) as names, min(name) as first from f group by form having count(*) > 1")
