@@ -1,8 +1,10 @@
 """Names that look like popular ones.
 
-Candidates come from equi-joins: the same normal form, or the same scope shape and a length
-within the cutoff, reached by exploding the few possible lengths. No pair outside these
-blocks is ever built. The edit distance then runs on the candidates only.
+Candidates come from equi-joins: the same normal form, or a part in common. A target is cut
+into three parts; two edits can't touch all of them, once transpositions across a border
+are undone, so within two edits a name has one part at its place, give or take the letters
+added or removed before it. Target and name meet on (length, part, letters), of which a name
+has at most 39 and a target 12, and the edit distance runs on those that meet.
 """
 
 from __future__ import annotations
@@ -19,21 +21,64 @@ def ranked(names: DataFrame, order: str, size: int = 20_000) -> DataFrame:
     return top.select(F.col("name").alias("target"), F.row_number().over(Window.orderBy(F.col(order).desc(), "name")).alias("rank"))
 
 
+PARTS = 3
+
+
+def _border(size: Column, k: int | Column) -> Column:
+    """Where a part begins; whole numbers throughout."""
+    return F.floor(size * k / PARTS).cast("int")
+
+
+def _swapped(text: Column, at: Column) -> Column:
+    """The text with the letters on both sides of a border exchanged."""
+    inside = (at > 0) & (at < F.length(text))
+    piece = lambda start, size: F.substr(text, start, size)
+    one = F.lit(1)
+    return F.when(inside, F.concat(piece(one, at - 1), piece(at + 1, one), piece(at, one), piece(at + 2, F.length(text)))).otherwise(text)
+
+
+def target_parts(targets: DataFrame) -> DataFrame:
+    """``targets`` (target, ...) with a row per part: tsize, part, letters."""
+    size = F.length("target")
+    first, second = _border(size, 1), _border(size, 2)
+    forms = F.array_distinct(F.array(F.col("target"), _swapped(F.col("target"), first), _swapped(F.col("target"), second), _swapped(_swapped(F.col("target"), first), second)))
+    cut = lambda form, k: F.substr(form, _border(size, k) + 1, _border(size, k + 1) - _border(size, k))
+    parts = F.array_distinct(F.flatten(F.transform(forms, lambda f: F.array(*(F.struct(F.lit(k).alias("part"), cut(f, k).alias("letters")) for k in range(PARTS))))))
+    return targets.select("*", size.alias("tsize"), F.explode(parts).alias("p")).select("*", "p.part", "p.letters").drop("p")
+
+
+def name_parts(names: DataFrame, longest_edit: int = 2) -> DataFrame:
+    """``names`` (name, cutoff, ...) with a row per place at which a part of a target within the cutoff can stand: tsize, part, letters."""
+    places = [
+        (longer, k, shift) for longer in range(-longest_edit, longest_edit + 1) for k in range(PARTS) for shift in range(-longest_edit, longest_edit + 1) if abs(shift) + abs(longer - shift) <= longest_edit
+    ]  # longer: letters the name has more than the target; shift: those of them before the part
+    table = F.array(*(F.struct(F.lit(a).alias("longer"), F.lit(k).alias("part"), F.lit(b).alias("shift"), F.lit(abs(b) + abs(a - b)).alias("edits")) for a, k, b in places))
+    rows = names.select("*", F.length("name").alias("size"), F.explode(table).alias("p")).select("*", "p.*", (F.col("size") - F.col("p.longer")).alias("tsize"))
+    start, end = _border(F.col("tsize"), F.col("part")), _border(F.col("tsize"), F.col("part") + 1)
+    fits = (F.col("cutoff") >= F.col("edits")) & (F.col("tsize") >= 1) & (start + F.col("shift") >= 0) & (end + F.col("shift") <= F.col("size"))
+    return rows.where(fits).select(*names.columns, "tsize", "part", F.substr(F.col("name"), start + F.col("shift") + 1, end - start).alias("letters"))
+
+
+def within_edits(names: DataFrame, targets: DataFrame, longest_edit: int = 2) -> DataFrame:
+    """(name, target) that may be within the cutoff (at most two), of ``names`` (name, cutoff) and ``targets`` (target); a pair may come several times, and none within it is missing."""
+    joined = name_parts(names, longest_edit).join(target_parts(targets), ["tsize", "part", "letters"])
+    return joined.where(F.levenshtein("name", "target", 2 * longest_edit) >= 0).select("name", "target")  # a transposition is two plain edits: a cheap necessary condition
+
+
 def candidates(names: DataFrame, popular: DataFrame, longest_edit: int = 2) -> DataFrame:
-    """(name, target, rank, distance, collision) of every name that isn't popular itself and every target within its cutoff."""
+    """(name, target, rank, distance, collision) of every name that isn't popular itself and every target within its cutoff.
+
+    The normal form is one more key to meet on, so names are read and joined once.
+    """
     own = names.select("name").where("name is not null").distinct().join(popular.select(F.col("target").alias("name")), "name", "left_anti")
-    shaped = own.select("name", F.length("name").alias("size"), F.col("name").startswith("@").alias("scoped"), normalize_name("name").alias("form"), distance_cutoff("name").alias("cutoff"))
-    targets = popular.select("target", "rank", F.length("target").alias("tsize"), F.col("target").startswith("@").alias("scoped"), normalize_name("target").alias("form"))
-    same_form = shaped.join(targets, ["form", "scoped"]).select("name", "target", "rank", "cutoff", F.lit(True).alias("collision"))
-    lengths = F.transform(F.sequence(F.lit(-longest_edit), F.lit(longest_edit)), lambda k: F.col("size") + k)
-    near = (
-        shaped.select("name", "scoped", "cutoff", "size", F.explode(lengths).alias("tsize"))
-        .where(F.abs(F.col("tsize") - F.col("size")) <= F.col("cutoff"))
-        .join(targets.drop("form"), ["scoped", "tsize"])
-        .where(F.levenshtein("name", "target", 2 * longest_edit) >= 0)  # a transposition is two plain edits: a cheap necessary condition
-        .select("name", "target", "rank", "cutoff", F.lit(False).alias("collision"))
-    )
-    both = same_form.unionByName(near).groupBy("name", "target", "rank", "cutoff").agg(F.max("collision").alias("collision"))
+    shaped = own.select("name", distance_cutoff("name").alias("cutoff"))
+    whole = lambda df, c: df.select(*df.columns, F.lit(0).alias("tsize"), F.lit(PARTS).alias("part"), normalize_name(c).alias("letters"))
+    ranked_parts = target_parts(popular.select("target", "rank"))
+    right = ranked_parts.unionByName(whole(popular.select("target", "rank"), "target"))
+    left = name_parts(shaped, longest_edit).unionByName(whole(shaped, "name"))
+    scope = lambda c: F.col(c).startswith("@")
+    met = left.join(right, ["tsize", "part", "letters"]).where((scope("name") == scope("target")) & ((F.col("part") == PARTS) | (F.levenshtein("name", "target", 2 * longest_edit) >= 0)))
+    both = met.groupBy("name", "target", "rank", "cutoff").agg(F.max(F.col("part") == PARTS).alias("collision"))
     measured = both.withColumn("distance", osa_distance("name", "target", F.col("cutoff")))
     return measured.where((F.col("distance") <= F.col("cutoff")) | F.col("collision"))
 

@@ -407,13 +407,12 @@ def normalize_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.groupBy(scalars.normalize_name("name").alias("form")).agg(F.count("*").alias("names"), F.min("name").alias("first")).where("names > 1")
 
 
-@query(
-    "with n as (select distinct p_name as a from part) select x.a as a, y.a as b, least(damerau_levenshtein(x.a, y.a), 3)::bigint as distance from n x join n y on x.a < y.a and abs(length(x.a) - length(y.a)) <= 2"
-)
+@query(_NAMES + "select m.name as a, target as b, damerau_levenshtein(m.name, target)::bigint as distance from m join pop on m.name <> target and abs(length(m.name) - length(target)) <= 2 where damerau_levenshtein(m.name, target) <= 2")
 def osa_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("a")).distinct().withColumn("size", F.length("a"))
-    other = names.select(F.col("a").alias("b"), F.explode(F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda k: F.col("size") + k)).alias("size"))
-    return names.join(other, "size").where("a < b").select("a", "b", scalars.osa_distance("a", "b", 2).cast("long").alias("distance"))
+    """Every spelling and every popular name within two edits."""
+    names, popular = _names(spark, sf_dir)
+    pairs = similarity.within_edits(names.withColumn("cutoff", F.lit(2)), popular.select("target")).where("name <> target").select(F.col("name").alias("a"), F.col("target").alias("b")).distinct()
+    return pairs.withColumn("distance", scalars.osa_distance("a", "b", 2).cast("long")).where("distance <= 2")
 
 
 # daily report

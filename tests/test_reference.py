@@ -183,6 +183,22 @@ def test_folds(spark):
 # similarity, report, mirror, budget
 
 
+def test_parts_miss_no_pair_within_two_edits(spark):
+    """Against all pairs of short texts, where transpositions across the parts' borders are frequent."""
+    import itertools
+    import random
+
+    from registry_lens.functions.scalars import osa_distance
+
+    r = random.Random(5)
+    texts = sorted({"".join(r.choices("abc", k=r.randint(1, 7))) for _ in range(60)} | {"ab", "ba", "a", "abcdef", "bacdfe", "abdcef", "acbdfe"})
+    all_pairs = spark.createDataFrame(list(itertools.product(texts, texts)), "name string, target string")
+    want = {(x["name"], x["target"]) for x in all_pairs.where(osa_distance("name", "target", 2) <= 2).collect()}
+    names = spark.createDataFrame([(t, 2) for t in texts], "name string, cutoff int")
+    targets = spark.createDataFrame([(t,) for t in texts], "target string")
+    assert want <= {tuple(x) for x in similarity.within_edits(names, targets).collect()}
+
+
 def test_similarity(spark):
     popular = spark.createDataFrame([("react", 1), ("cross-env", 2), ("@babel/core", 3), ("abc", 4)], "target string, rank int")
     names = spark.createDataFrame([("raect",), ("crossenv",), ("@other/core",), ("react",), ("xyz",), ("reactxyz",), ("@babel/cores",), (None,), ("abd",)], "name string")
