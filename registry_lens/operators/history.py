@@ -8,15 +8,19 @@ file puts the new chains in place of the old ones.
 
 Layout below the store's path::
 
-    raw/gen=N/bucket=B/       raw changes as delivered
-    chains/gen=N/bucket=B/    complete chains of the entities that generation N touched
-    touched/gen=N/            those entities
+    raw/gen=G/bucket=B/       raw changes as delivered
+    chains/gen=G/bucket=B/    complete chains of the entities that generation G touched
+    touched/gen=G/            those entities
     manifest/V.json           the committed generations; the newest one is the table
+
+A generation's name is unique to the writer, so two writers never touch each other's files;
+the manifest takes one of them and refuses the other.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from registry_lens.session import buckets_for, list_names, read_text, write_text_once
+from registry_lens.session import buckets_for, list_names, read_text, remove, write_text_once
+
+#: Generations after which an update compacts them into one.
+MOST_GENERATIONS = 16
 
 
 @dataclass(frozen=True)
@@ -91,11 +98,11 @@ class ChainStore:
         names = [n for n in list_names(self.spark, f"{self.path}/manifest") if n.endswith(".json")]
         return json.loads(read_text(self.spark, f"{self.path}/manifest/{names[-1]}")) if names else {"version": 0, "generations": []}
 
-    def _part(self, kind: str, gen: int) -> DataFrame:
+    def _part(self, kind: str, gen: str) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(self.schemas[kind]))
         return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/gen={gen}")
 
-    def _write(self, df: DataFrame, kind: str, gen: int) -> None:
+    def _write(self, df: DataFrame, kind: str, gen: str) -> None:
         self.schemas[kind] = df.schema.json()
         df.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{kind}/gen={gen}")
 
@@ -109,43 +116,66 @@ class ChainStore:
     def apply(self, changes: DataFrame) -> int:
         """Add a batch of normalised changes and replace the chains it touches; returns the new version.
 
-        A crash before the manifest is written leaves the table as it was, and the same
-        generation number is overwritten by the retry.
+        A crash before the manifest is written leaves the table as it was. Raw changes of
+        earlier generations are read only in the buckets that the batch touches.
         """
         seen = self._manifest()
-        gen = max(seen["generations"], default=-1) + 1
+        earlier, gen = seen["generations"], uuid.uuid4().hex
         self._write(self._spread(self._bucketed(changes)), "raw", gen)
         fresh = self._part("raw", gen)
         touched = fresh.select("bucket", "entity").distinct()
-        if seen["generations"]:
+        if earlier:
             self._write(touched, "touched", gen)
             touched = self._part("touched", gen)
-            history = reduce(DataFrame.unionByName, (self._part("raw", g) for g in seen["generations"])).join(
-                touched, ["bucket", "entity"], "left_semi"
-            )
+            buckets = sorted(r[0] for r in touched.select("bucket").distinct().collect())  # at most the number of buckets
+            history = reduce(DataFrame.unionByName, (self._part("raw", g).where(F.col("bucket").isin(buckets)) for g in earlier)).join(touched, ["bucket", "entity"], "left_semi")
             fresh = history.unionByName(fresh)
         self._write(self._spread(self._bucketed(build_chains(fresh.drop("bucket")))), "chains", gen)
+        version = self._commit(seen, [*earlier, gen])
+        return self.compact() if len(earlier) + 1 > MOST_GENERATIONS else version
+
+    def _commit(self, seen: dict, generations: list[str]) -> int:
         version = seen["version"] + 1
-        entry = {"version": version, "buckets": self.buckets, "schemas": self.schemas, "generations": [*seen["generations"], gen]}
+        entry = {"version": version, "buckets": self.buckets, "schemas": self.schemas, "generations": generations}
         write_text_once(self.spark, f"{self.path}/manifest/{version:010d}.json", json.dumps(entry))
         return version
 
+    def compact(self) -> int:
+        """Rewrite all generations as one, with the same raw changes and chains; returns the new version."""
+        seen = self._manifest()
+        if len(seen["generations"]) < 2:
+            return seen["version"]
+        gen = uuid.uuid4().hex
+        self._write(self._spread(reduce(DataFrame.unionByName, (self._part("raw", g) for g in seen["generations"]))), "raw", gen)
+        self._write(self._spread(self._bucketed(self.read())), "chains", gen)
+        return self._commit(seen, [gen])
+
+    def vacuum(self) -> int:
+        """Delete generations that the newest manifest doesn't name, leftovers of failed writers included; returns how many folders."""
+        live, gone = {f"gen={g}" for g in self._manifest()["generations"]}, 0
+        for kind in ("raw", "chains", "touched"):
+            for name in list_names(self.spark, f"{self.path}/{kind}"):
+                if name not in live:
+                    remove(self.spark, f"{self.path}/{kind}/{name}")
+                    gone += 1
+        return gone
+
     def read(self) -> DataFrame:
         """The current chains: of each entity those of the newest generation that touched it."""
         gens = self._manifest()["generations"]
         if not gens:
             raise ValueError("the store is empty")
-        tagged = reduce(DataFrame.unionByName, (self._part("chains", g).withColumn("gen", F.lit(g)) for g in gens))
+        tagged = reduce(DataFrame.unionByName, (self._part("chains", g).withColumn("gen", F.lit(n)) for n, g in enumerate(gens)))
         if len(gens) == 1:
             return tagged.drop("gen", "bucket")
         newest = (
-            reduce(DataFrame.unionByName, (self._part("touched", g).withColumn("newest", F.lit(g)) for g in gens[1:]))
+            reduce(DataFrame.unionByName, (self._part("touched", g).withColumn("newest", F.lit(n)) for n, g in enumerate(gens) if n))
             .groupBy("bucket", "entity")
             .agg(F.max("newest").alias("newest"))
         )
         return (
             tagged.join(newest, ["bucket", "entity"], "left")
-            .where(F.col("gen") == F.coalesce("newest", F.lit(gens[0])))
+            .where(F.col("gen") == F.coalesce("newest", F.lit(0)))
             .drop("gen", "newest", "bucket")
         )
 
