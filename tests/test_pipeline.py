@@ -80,6 +80,31 @@ def test_history_empty_and_incremental_equals_full(spark):
     assert again.buckets == 3 and again.read().count() == len(got)
 
 
+def test_history_two_writers_and_compaction(spark, monkeypatch):
+    rows = [(e, f"2026-03-{d:02d}", at(d), '["m"]', str((d * k) % 3), None, None, None) for k, e in enumerate("abcdef") for d in range(2, 8)]
+    normal = history.normalise(spark.createDataFrame(rows, PACKAGES), "name", "snapshot_day", "delivered_at", tracked())
+    part = lambda n: normal.where(F.pmod(F.dayofmonth("arrived"), F.lit(3)) == n)
+    one = history.ChainStore(spark, work_dir(spark, "writers"), buckets=2)
+    one.apply(part(0))
+    two = history.ChainStore(spark, one.path)
+    seen = two._manifest()
+    one.apply(part(1))
+    with monkeypatch.context() as m:
+        m.setattr(two, "_manifest", lambda: seen)  # began before the other ended
+        with pytest.raises(FileExistsError):
+            two.apply(part(2))
+    read = lambda s: sorted(map(str, s.read().collect()))
+    want = sorted(map(str, history.build_chains(part(0).unionByName(part(1))).select(one.read().columns).collect()))
+    assert read(one) == want == read(two)
+    monkeypatch.setattr(history, "MOST_GENERATIONS", 2)
+    two.apply(part(2).where("entity in ('a', 'b')"))  # the third generation: compacted
+    assert len(two._manifest()["generations"]) == 1
+    want = sorted(map(str, history.build_chains(part(0).unionByName(part(1)).unionByName(part(2).where("entity in ('a', 'b')"))).select(one.read().columns).collect()))
+    assert read(two) == want and two.vacuum() > 0 and two.vacuum() == 0 and read(two) == want
+    two.apply(part(2))
+    assert len(read(two)) >= len(want) and two.compact() == two.compact()
+
+
 SNAP = "run string, name string, delivered_at timestamp, outcome string, times array<struct<v:string,t:bigint>>, missing array<struct<v:string,t:bigint>>, maintainerHashes array<string>, container long"
 
 
@@ -134,6 +159,27 @@ def test_snapshot_brute_force_and_persistent_ordinals(spark):
     assert all(then[k] == v for k, v in first.items()) and len(set(then.values())) == 90
 
 
+def test_a_dictionary_grown_a_thousandfold(spark, monkeypatch):
+    monkeypatch.setattr(snapshot_diff, "BUCKET_KEYS", 8)
+    d = snapshot_diff.OrdinalDictionary(spark, work_dir(spark, "ord"))
+    keys = lambda n: spark.range(n).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+    first = {r["key"]: (r["container"], r["position"]) for r in d.extend(keys(3)).collect()}
+    then = {r["key"]: (r["container"], r["position"]) for r in d.extend(keys(3000)).collect()}
+    assert all(then[k] == v for k, v in first.items()) and len(set(then.values())) == 3000
+    sizes = [r["count"] for r in d.read().groupBy("bucket").count().collect()]
+    assert len(sizes) > 300 and max(sizes) < 40
+
+
+def test_a_container_that_snapshots_lack():
+    runs = ["r1", "r2", "r3", "r4", "r5"]
+    row = lambda keys, known, value: {"present": bitmaps.encode(np.array(keys), snapshot_diff.CONTAINER), "known": bitmaps.encode(np.array(known), snapshot_diff.CONTAINER), "v0": np.full(10, value, dtype=np.int64).tobytes()}
+    box = snapshot_diff._Container(4, runs, 1)
+    got = [*box.add(0, row([1, 2, 3], [1, 2, 3], 7)), *box.add(2, row([2, 3], [2], 7)), *box.add(3, row([2, 3], [3], 8)), *box.upto(5)]
+    assert sorted((b["run"][0].as_py(), b["change"][0].as_py(), b["position"].to_pylist()) for b in got) == [
+        ("r2", "removed", [1, 2, 3]), ("r3", "added", [2, 3]), ("r4", "changed", [3]), ("r5", "removed", [2, 3]),
+    ]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.sets(st.integers(0, 999)), st.sets(st.integers(0, 999)))
 def test_bitmaps(a, b):
