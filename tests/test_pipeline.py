@@ -202,7 +202,14 @@ def test_change_feed_order_repeats_and_resume(spark):
     # later files: an older change of a, b comes back, f dies; the last sequence seen twice with and without its mark
     spark.createDataFrame([row(4, "a", v="old"), row(6, "b", "upsert", v="6"), row(10, "f"), row(10, "f", "d")], FEED).write.mode("append").parquet(f"{path}/one.parquet")
     assert read(change_feed.apply_feed(spark, path + "/one.parquet", root)) == [("a", 5, "5"), ("b", 6, "6")]
-    batch = change_feed.newest_state(change_feed.change_rows(spark.read.parquet(f"{path}/one.parquet"))).where("not change.tombstone")
+    state = change_feed.apply_feed(spark, path + "/one.parquet", root)
+    for _ in range(2):
+        change_feed.compact_state(spark, f"{root}/upserts", state.schema)
+        assert read(change_feed.read_state(spark, f"{root}/upserts", state.schema)) == [("a", 5, "5"), ("b", 6, "6")]
+    spark.createDataFrame([row(11, "a", "d"), row(12, "g")], FEED).write.mode("append").parquet(f"{path}/one.parquet")
+    assert read(change_feed.apply_feed(spark, path + "/one.parquet", root)) == [("b", 6, "6"), ("g", 12, "1")]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    batch = change_feed.newest_state(change_feed.change_rows(spark.read.parquet(f"{path}/one.parquet").where("seq is null or seq < 11"))).where("not change.tombstone")
     assert sorted((r["key"], r["change"]["seq"]) for r in batch.collect()) == [("a", 5), ("b", 6)]
 
 
