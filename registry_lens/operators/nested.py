@@ -90,7 +90,7 @@ class StructuralIndex:
         self._opening = self.quotes & (parity % 2 == 1)
         content = ~BLANK[data]
         self._content = np.concatenate(([0], np.cumsum(content)))
-        self._content_at = np.flatnonzero(content)
+        self._content_at = np.append(np.flatnonzero(content), n)
         self._slashes = np.concatenate(([0], np.cumsum(slash, dtype=np.int32)))
         self._sorted: dict[tuple[str, int], np.ndarray] = {}
 
@@ -99,13 +99,15 @@ class StructuralIndex:
 
     def first_content(self, offsets: np.ndarray) -> np.ndarray:
         """First byte at or after each offset that is no white space (the buffer's length if there is none)."""
-        return np.append(self._content_at, len(self.data))[self._content[offsets]]
+        return self._content_at[self._content[offsets]]
 
     def _marks(self, kind: str, depth: int) -> np.ndarray:
         """Marks of a kind in a depth, in order, with the last mark of all behind them; found once per block."""
         if (kind, depth) not in self._sorted:
             close = ~self.mark_open & ((self.mark == CLOSE_O) | (self.mark == CLOSE_A))
-            if kind == "comma":
+            if kind == "colon":
+                found = (self.mark == COLON) & (self.mark_depth == depth)
+            elif kind == "comma":
                 found = (self.mark == COMMA) & (self.mark_depth == depth)
             elif kind == "close":
                 found = close & (self.mark_depth == depth)
@@ -124,19 +126,17 @@ class StructuralIndex:
         ends = self._marks("close", depth)
         return ends[np.minimum(np.searchsorted(ends, opening, side="right"), len(ends) - 1)]
 
-    def member(self, opening: np.ndarray, depth: int, name: str, among: tuple[int, int] | None = None) -> np.ndarray:
+    def member(self, opening: np.ndarray, depth: int, name: str) -> np.ndarray:
         """For each object (mark of its brace, lying in ``depth``) the colon of the member ``name``, or -1.
 
         Objects must be in order; entries of -1 stay -1. Of a repeated key the last counts.
-        ``among``: a range of marks to look in, when it is known.
         """
         out = np.full(len(opening), -1)
         live = np.flatnonzero(opening >= 0)
         if not len(live):
             return out
         lo, hi = opening[live], self.closing(opening[live], depth)
-        first, stop = among or (0, len(self.mark))
-        colons = first + np.flatnonzero((self.mark[first:stop] == COLON) & (self.mark_depth[first:stop] == depth + 1))
+        colons = self._marks("colon", depth + 1)[:-1]
         owner = np.searchsorted(lo, colons, side="right") - 1
         mine = (owner >= 0) & (colons < hi[owner])
         colons, owner = colons[mine], owner[mine]
@@ -222,6 +222,8 @@ class StructuralIndex:
 
 def strict(text: bytes):
     """The value of a short JSON text, or None; NaN and Infinity are not JSON."""
+    if text[:1] == b'"' and b"\\" not in text and text.count(b'"') == 2 and text[-1:] == b'"':
+        return text[1:-1].decode()
     try:
         return json.loads(text) if LITERAL.fullmatch(text) or text[:1] in b'"[{' else None
     except (ValueError, RecursionError):
