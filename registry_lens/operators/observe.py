@@ -69,8 +69,8 @@ def retained_rows(fetched: DataFrame, obs: DataFrame, salt: str, soft: bool = Fa
     ``too_large``. The limit holds for the compressed size, which is only computed where
     the text itself is above it. Rows without a document or revision are no candidates.
     """
-    wanted = obs.where(retain(F.col("flags"), soft, config) & F.col("rev").isNotNull()).select("run", "name")
-    there = fetched.where("raw is not null").join(wanted, ["run", "name"], "left_semi")
+    wanted = obs.where(retain(F.col("flags"), soft, config)).select("run", "name")
+    there = fetched.where("raw is not null and rev is not null").join(wanted, ["run", "name"], "left_semi")
     rows = there.select("run", "name", "rev", redact_json("raw", salt, marker=True).alias("doc"))
     sized = rows.withColumn("gz", F.coalesce(gzip_size(F.when(F.octet_length("doc") > config.max_retained_bytes, F.col("doc"))), F.octet_length("doc").cast("long")))
     ruled = sized.withColumn("rule", gate_violation("doc"))

@@ -116,10 +116,13 @@ def test_observations(spark):
 
 def test_retained(spark):
     raw = json.dumps({"name": "a", "versions": {}, "time": {}, "maintainers": [{"name": "z", "email": "z@example.com"}]})
-    df = spark.createDataFrame([("r", "a", raw), ("r", "b", raw), ("r", "c", "x" * 600_000)], "run string, name string, raw string")
-    flagged = spark.createDataFrame([("r", "a", ["package_unpublished"]), ("r", "b", ["truncated"]), ("r", "c", ["package_unpublished"])], "run string, name string, flags array<string>")
-    (row,) = observe.retained_rows(df, flagged, SALT).collect()
-    assert row["name"] == "a" and "@" not in row["doc"] and row["sha256"] == hashlib.sha256(row["doc"].encode()).hexdigest()
+    noise = json.dumps({"name": "c", "readme": random.Random(1).randbytes(600_000).hex()})
+    rows = [("r", "a", "1-x", raw), ("r", "b", "1-x", raw), ("r", "c", "1-x", noise), ("r", "d", None, raw), ("r", "e", "1-x", None), ("r", "f", "1-x", json.dumps({"readme": "all the same " * 60_000}))]
+    df = spark.createDataFrame(rows, "run string, name string, rev string, raw string")
+    flagged = spark.createDataFrame([("r", n, ["truncated" if n == "b" else "package_unpublished"]) for n in "abcdef"], "run string, name string, flags array<string>")
+    got = {r["name"]: r for r in observe.retained_rows(df, flagged, SALT).collect()}
+    assert {n: r["verdict"] for n, r in got.items()} == {"a": "kept", "c": "too_large", "f": "kept"}  # f is large, but not when compressed
+    assert "@" not in got["a"]["doc"] and got["a"]["sha256"] == hashlib.sha256(got["a"]["doc"].encode()).hexdigest()
 
 
 def test_caps(spark):
