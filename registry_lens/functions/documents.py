@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from registry_lens.config import CONFIG, Config
@@ -37,10 +37,21 @@ def let(value: Column, f) -> Column:
 
 
 class Document:
-    """Column expressions over one document column."""
+    """Column expressions over one document column.
 
-    def __init__(self, doc: Column, now: Column, config: Config = CONFIG):
-        self.doc, self.now, self.c = doc, now, config
+    ``shared`` adds to a DataFrame what several of them need, so that it is computed once a
+    row; without it every expression computes its own.
+    """
+
+    def __init__(self, doc: Column, now: Column, config: Config = CONFIG, versions: Column | None = None, timed: Column | None = None):
+        self.doc, self.now, self.c, self._versions, self._timed = doc, now, config, versions, timed
+
+    @classmethod
+    def shared(cls, rows: DataFrame, doc: str, now: str, config: Config = CONFIG) -> tuple[DataFrame, Document]:
+        plain = cls(F.col(doc), F.col(now), config)
+        with_versions = rows.withColumn("__versions", plain.versions())
+        half = cls(F.col(doc), F.col(now), config, F.col("__versions"))
+        return with_versions.withColumn("__timed", half.timed()), cls(F.col(doc), F.col(now), config, F.col("__versions"), F.col("__timed"))
 
     def name(self) -> Column:
         return F.coalesce(text_at(self.doc, "$.name"), text_at(self.doc, "$._id"))
@@ -77,6 +88,8 @@ class Document:
         return F.array_sort(F.transform(self._people("$.maintainers", "email"), lambda e: hash_email(e, salt)))
 
     def versions(self) -> Column:
+        if self._versions is not None:
+            return self._versions
         return map_at(self.doc, "$.versions")
 
     def version_names(self) -> Column:
@@ -87,6 +100,8 @@ class Document:
 
         The two maps are joined by their keys, so the cost is linear in the versions.
         """
+        if self._timed is not None:
+            return self._timed
         times = F.coalesce(map_at(self.doc, "$.time"), F.create_map().cast(VERSION_MAP))
         listed = F.transform_values(F.coalesce(self.versions(), F.create_map().cast(VERSION_MAP)), lambda k, x: F.lit(True))
         both = F.map_entries(F.map_zip_with(times, listed, lambda k, t, there: F.struct(epoch(own_text(t)).alias("t"), there.isNotNull().alias("listed"))))

@@ -26,7 +26,7 @@ def observations(fetched: DataFrame, salt: str, config: Config = CONFIG) -> Data
     """
     too_large = F.coalesce(F.octet_length("raw") > config.max_document_bytes, F.lit(False))
     rows = fetched.withColumn("doc", F.when(~too_large, F.try_parse_json("raw")))
-    doc = Document(F.col("doc"), F.col("now"), config)
+    rows, doc = Document.shared(rows, "doc", "now", config)
     there = map_at(F.col("doc"), "$").isNotNull()
     no_versions = F.array().cast("array<struct<t:bigint,v:string>>")
     parts = rows.select(
